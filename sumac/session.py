@@ -15,6 +15,7 @@ def local_session(cpus: str = "*", app: str = "sumac", **conf: str) -> SparkSess
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
     )
