@@ -13,7 +13,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from sumac.operators.neighbours import distance
 from sumac.operators.ordering import global_rank
@@ -39,8 +39,8 @@ class _Grid:
         for move in product(range(-self.reach, self.reach + 1), repeat=len(self.axes)):
             gap = math.sqrt(sum(max(abs(v) - 1, 0) ** 2 for v in move)) * self.side
             if gap <= self.eps and (not half or move > (0,) * len(move)):
-                moves.append(F.array(*[F.lit(v) for v in move]))
-        return F.explode(F.array(*moves))
+                moves.append(f"array({', '.join(map(str, move))})")
+        return F.explode(F.expr(f"array({', '.join(moves)})"))
 
     def in_cells(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.floor(x / F.lit(self.side)).cast("long") for c, x in zip(self.cell, self.here)})
@@ -156,28 +156,28 @@ def _linked_cells(core: DataFrame, grid: _Grid) -> DataFrame:
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, root): smallest id reachable over undirected edges (a, b).
 
-    Every round takes the smallest label among neighbours and then follows labels
-    one step, so long chains shrink quickly. Each round is written to the shared
-    folder, which keeps plans short and survives lost executors.
+    Every round each node points to its smallest neighbour, follows pointers a
+    few steps, and the graph shrinks to the edges between different ends. Rounds
+    grow with the logarithm of the nodes, not with the length of a chain, and a
+    hub becomes one node at once. Each round is a table in the shared folder.
     """
-    both = freeze(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    )
-    labels = freeze(nodes.select("id", F.col("id").alias("root")))
+    graph = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    roots = nodes.select("id", F.col("id").alias("root"))
     while True:
-        offered = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("root").alias("offer"))
-        lower = labels.join(offered, labels["id"] == offered["a"], "left").select(
-            "id", F.col("root").alias("old"), F.least("root", "offer").alias("root")
-        )
-        hop = lower.select(F.col("id").alias("h"), F.col("root").alias("hop"))
-        stepped = freeze(
-            lower.join(hop, lower["root"] == hop["h"], "left").select(
-                "id", "old", F.least("root", "hop").alias("root")
-            )
-        )
-        labels = stepped.select("id", "root")
-        if stepped.filter(F.col("old") != F.col("root")).isEmpty():
-            return labels
+        left = Observation()
+        graph = freeze(graph.observe(left, F.count(F.lit(1)).alias("n")))
+        if not left.get["n"]:
+            return roots
+        points = graph.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("p"))
+        for _ in range(2):
+            ahead = points.select(F.col("v").alias("p"), F.col("p").alias("q"))
+            points = points.join(ahead, "p").select("v", F.col("q").alias("p"))
+        points = freeze(points)
+        moved = points.select(F.col("v").alias("root"), F.col("p").alias("q"))
+        roots = roots.join(moved, "root", "left").select("id", F.coalesce("q", "root").alias("root"))
+        ends = graph.join(points.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
+        ends = ends.join(points.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
+        graph = ends.filter(F.col("pa") != F.col("pb")).select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct()
 
 
 def dbscan(df: DataFrame, key: str, columns: Sequence[str], eps: float, min_samples: int) -> DataFrame:

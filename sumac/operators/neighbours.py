@@ -73,7 +73,8 @@ def knn(df: DataFrame, key: str, columns: Sequence[str], k: int) -> DataFrame:
     )
     mine = [F.col(f"_q{a}") for a in axes]
     reach = math.ceil(math.sqrt(len(axes)))
-    steps = F.array(*[F.array(*[F.lit(v) for v in s]) for s in product(range(-reach, reach + 1), repeat=len(axes))])
+    moves = ", ".join(f"array({', '.join(map(str, m))})" for m in product(range(-reach, reach + 1), repeat=len(axes)))
+    steps = F.expr(f"array({moves})")
     asking = asking.withColumn("_step", F.explode(steps))
     asking = asking.withColumns(
         {

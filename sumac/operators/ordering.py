@@ -1,7 +1,7 @@
 """Positions and running values over a whole table in one global order.
 
 A window without PARTITION BY would pull the table into one task. Here the rows
-are range-partitioned and sorted, the layout is frozen by a checkpoint, and only
+are range-partitioned and sorted, the layout is frozen as a written table, and only
 one number per partition passes through the driver to shift each partition's
 local result. The order columns must end in a unique key: then even one hot
 value is spread over several partitions.

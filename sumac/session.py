@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str = "*", app: str = "sumac", **conf: str) -> SparkSession:
@@ -50,7 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def freeze(df):
-    """Write ``df`` to the shared folder and continue from the written copy."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the written table.
+
+    Cuts the lineage like a checkpoint, but is columnar, computed once, pruned on
+    reading and of known size, so later joins are planned on real numbers. It
+    survives the loss of any executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
