@@ -17,7 +17,7 @@ def write_run_records(records: DataFrame, path: str) -> None:
 
 def read_run_records(spark: SparkSession, path: str) -> DataFrame:
     """(run_id, kind, key, value) of all runs; a metric file holds ``millis value step``."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     place = F.col("_metadata.file_path")
     parts = files.select(
         F.regexp_extract(place, _PLACE, 1).alias("run_id"),
