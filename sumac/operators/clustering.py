@@ -119,17 +119,24 @@ def clustering_comparison(
     algorithms: Mapping[str, Callable[[DataFrame], DataFrame]],
 ) -> DataFrame:
     """(dataset, algorithm, rows, clusters, seconds, silhouette) for every combination."""
-    out = []
+    timed = []
     for dataset, df in datasets.items():
         data = freeze(df.select(key, *columns))
         n = data.count()
         for name, run in algorithms.items():
             start = time.perf_counter()
             labelled = freeze(run(data).select(key, "cluster"))
-            seconds = time.perf_counter() - start
-            scored = silhouette(data.join(labelled, key), key, F.array(*columns), "cluster")
-            row = scored.agg(F.avg("silhouette").alias("s"), F.count_distinct("cluster").alias("c")).first()
-            out.append((dataset, name, n, row["c"], seconds, row["s"] if row["c"] > 1 else None))
+            timed.append((dataset, name, n, time.perf_counter() - start, data.join(labelled, key)))
+
+    def judge(entry: tuple) -> tuple:
+        dataset, name, n, seconds, labelled = entry
+        scored = silhouette(labelled, key, F.array(*columns), "cluster")
+        row = scored.agg(F.avg("silhouette").alias("s"), F.count_distinct("cluster").alias("c")).first()
+        return dataset, name, n, row["c"], seconds, row["s"] if row["c"] > 1 else None
+
+    # The fits are timed one by one; the silhouettes then share the cluster.
+    with ThreadPoolExecutor(4) as pool:
+        out = list(pool.map(judge, timed))
     schema = "dataset string, algorithm string, rows long, clusters long, seconds double, silhouette double"
     return next(iter(datasets.values())).sparkSession.createDataFrame(out, schema)
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sumac.functions.scalars import elapsed_days, elapsed_days_up, round_even
+from sumac.operators.ordering import with_previous
 
 
 def _daily(df: DataFrame, customer: str, date: str, amount: Column) -> DataFrame:
@@ -64,22 +65,11 @@ def lrmfp(df: DataFrame, customer: str, date: str, amount: Column, as_of: Column
 def visit_gaps(df: DataFrame, customer: str, date: str, key: str, name: str = "gap_days") -> DataFrame:
     """Whole days since the customer's previous row, kept for every row.
 
-    Rows are ordered inside (customer, day); the first row of a day takes the
-    previous active day's last date from the daily table.
+    One global order over (customer, date, key) instead of a window per customer:
+    a customer with most of the rows is spread over many tasks.
     """
-    rows = df.withColumn("_day", F.to_date(date))
-    inside = Window.partitionBy(customer, "_day").orderBy(date, key)
-    by_day = Window.partitionBy(customer).orderBy("_day")
-    carried = (
-        rows.groupBy(customer, "_day")
-        .agg(F.max(date).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(by_day))
-        .drop("_last")
-    )
-    # Equality that also matches rows without customer or date, so none are lost.
-    right = carried.select(F.col(customer).alias("_c"), F.col("_day").alias("_d"), "_carried")
-    joined = rows.withColumn("_lag", F.lag(date).over(inside)).join(
-        right, F.col(customer).eqNullSafe(F.col("_c")) & F.col("_day").eqNullSafe(F.col("_d")), "left"
-    )
-    previous = F.coalesce(F.col("_lag"), F.col("_carried"))
-    return joined.withColumn(name, elapsed_days(previous, F.col(date))).drop("_day", "_lag", "_carried", "_c", "_d")
+    order = [F.asc_nulls_last(customer), F.asc_nulls_last(date), F.asc(key)]
+    rows = with_previous(df, order, [customer, date], "_before")
+    same = F.col(f"_before.{customer}").eqNullSafe(F.col(customer))
+    gap = F.when(same, elapsed_days(F.col(f"_before.{date}"), F.col(date)))
+    return rows.withColumn(name, gap).drop("_before")

@@ -13,7 +13,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sumac.operators.neighbours import distance
 from sumac.operators.ordering import global_rank
@@ -164,9 +164,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     graph = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     roots = nodes.select("id", F.col("id").alias("root"))
     while True:
-        left = Observation()
-        graph = freeze(graph.observe(left, F.count(F.lit(1)).alias("n")))
-        if not left.get["n"]:
+        graph = freeze(graph)
+        if graph.isEmpty():
             return roots
         points = graph.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("p"))
         for _ in range(2):

@@ -82,3 +82,17 @@ def global_running(
         out = out.join(F.broadcast(carry), PART)
         out = out.withColumn(name, merge(function(column).over(upto), F.col(f"_c_{name}"))).drop(f"_c_{name}")
     return out.drop(PART, POS)
+
+
+def with_previous(df: DataFrame, order: Sequence[Column | str], columns: Sequence[str], name: str) -> DataFrame:
+    """Adds a struct of the given columns of the row just before in the global order."""
+    layout = sorted_layout(df, order)
+    value = F.struct(*columns)
+    carry = _offsets(layout, F.max_by(value, F.col(POS)), lambda _, latest: latest, None)
+    before = F.lag(value).over(Window.partitionBy(PART).orderBy(POS))
+    return (
+        layout.withColumn(name, before)
+        .join(F.broadcast(carry), PART)
+        .withColumn(name, F.coalesce(name, "_carry"))
+        .drop(PART, POS, "_carry")
+    )

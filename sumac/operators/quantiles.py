@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-EXACT_ROWS = 1_000_000
+EXACT_ROWS = 200_000
 BUFFER_ROWS = 50_000
 ACCURACY = 10_000
 
@@ -73,26 +73,28 @@ def order_statistics(
     state = {t: (None, None, 0, counts[t[0]]) for t in targets}
     done: dict[tuple[str, int], float] = {}
     while state:
-        todo = list(state)
-        sketches = []
-        for i, (c, k) in enumerate(todo):
-            low, high, below, inside = state[c, k]
+        # Targets inside the same bounds share one sketch or one buffer.
+        shared: dict[tuple, list[int]] = {}
+        for (c, k), (low, high, below, inside) in state.items():
+            shared.setdefault((c, low, high, below, inside), []).append(k)
+        sketches, slack = [], 2.0 / ACCURACY
+        for i, ((c, low, high, below, inside), ranks) in enumerate(shared.items()):
             held = F.when(_inside(c, low, high), F.col(c))
             if inside <= buffer_rows:
                 sketches.append(F.sort_array(F.collect_list(held)).alias(f"t{i}"))
                 continue
-            share = (k - below + 0.5) / inside
-            bracket = [max(0.0, share - 2.0 / ACCURACY), min(1.0, share + 2.0 / ACCURACY)]
-            sketches.append(F.percentile_approx(held, bracket, ACCURACY).alias(f"t{i}"))
+            shares = [(k - below + 0.5) / inside for k in ranks]
+            edges = [e for s in shares for e in (max(0.0, s - slack), min(1.0, s + slack))]
+            sketches.append(F.percentile_approx(held, edges, ACCURACY).alias(f"t{i}"))
         found = data.agg(*sketches).first()
         brackets = {}
-        for i, (c, k) in enumerate(todo):
-            _, _, below, inside = state[c, k]
-            if inside <= buffer_rows:
-                done[c, k] = found[f"t{i}"][k - below]
-                del state[c, k]
-            else:
-                brackets[c, k] = tuple(found[f"t{i}"])
+        for i, ((c, _, _, below, inside), ranks) in enumerate(shared.items()):
+            for n, k in enumerate(ranks):
+                if inside <= buffer_rows:
+                    done[c, k] = found[f"t{i}"][k - below]
+                    del state[c, k]
+                else:
+                    brackets[c, k] = tuple(found[f"t{i}"][2 * n : 2 * n + 2])
         if not brackets:
             continue
         checks = []

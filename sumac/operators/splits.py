@@ -39,14 +39,18 @@ def train_quotas(counts: dict, test_fraction: float) -> dict:
     return quotas
 
 
-def _token_cuts(df: DataFrame, label: str, token: Column, quotas: dict) -> dict:
+def _token_cuts(df: DataFrame, label: str, token: Column, quotas: dict, counts: dict) -> dict:
     """Per class the ``quota``-th smallest token, by narrowing its hex prefix."""
     data = df.select(F.col(label).alias("label"), token.alias("token"))
     state = {c: ("", q) for c, q in quotas.items() if q > 0}
     cuts: dict = {}
     small: dict = {}
+    width, largest = 0, max(counts.values(), default=0)
     while state:
-        width = len(next(iter(state.values()))[0]) + 3
+        # As many hex digits as bring a bucket down to the small size, three at most.
+        digits = math.ceil(math.log(max(largest / max(_SMALL, 1), 2), 16))
+        width += min(3, max(1, digits))
+        largest /= 16 ** min(3, max(1, digits))
         wanted = F.lit(False)
         for c, (prefix, _) in state.items():
             wanted = wanted | (F.col("label").eqNullSafe(F.lit(c)) & F.startswith("token", F.lit(prefix)))
@@ -82,8 +86,8 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``train``/``test``; class shares are kept exactly. ``key`` must be unique."""
     token = seeded_hash(F.col(key), seed)
-    quotas = train_quotas(class_counts(df, label), test_fraction)
-    cuts = _token_cuts(df, label, token, quotas)
+    counts = class_counts(df, label)
+    cuts = _token_cuts(df, label, token, train_quotas(counts, test_fraction), counts)
     in_train = F.lit(False)
     for c, cut in cuts.items():
         in_train = in_train | (F.col(label).eqNullSafe(F.lit(c)) & (token <= F.lit(cut)))
@@ -129,15 +133,25 @@ def chronological_split(
     n_train = math.floor(train_fraction * total)
     n_valid = (total - n_train) - math.ceil(test_fraction * (total - n_train))
 
+    # Both cut points are found together: the date at each rank, then the key
+    # inside that date up to which its rows still belong to the earlier part.
+    ranks = [r for r in (n_train, n_train + n_valid) if r > 0]
+    found = order_statistics(dated, {"t": F.col("t")}, [("t", r - 1) for r in ranks], {"t": total})
+    cuts = {r: found["t", r - 1] for r in ranks}
+    tied = {str(r): F.when(F.col("t") == F.lit(t), F.col("id")) for r, t in cuts.items()}
+    below = [F.count_if(F.col("t") < F.lit(t)).alias(f"below{r}") for r, t in cuts.items()]
+    at = [F.count(e).alias(f"at{r}") for r, e in tied.items()]
+    seen = dated.agg(*below, *at).first() if cuts else {}
+    places = {r: r - seen[f"below{r}"] - 1 for r in cuts}
+    last = order_statistics(
+        dated, tied, [(str(r), k) for r, k in places.items()], {str(r): seen[f"at{r}"] for r in cuts}
+    )
+
     def before(rows: int) -> Column:
-        if rows <= 0:
+        if rows not in cuts:
             return F.lit(False)
-        cut = order_statistics(dated, {"t": F.col("t")}, [("t", rows - 1)], {"t": total})["t", rows - 1]
-        counts = dated.agg(F.count_if(F.col("t") < cut).alias("below"), F.count_if(F.col("t") == cut).alias("at")).first()
-        place = rows - counts["below"] - 1
-        tied = {"id": F.when(F.col("t") == cut, F.col("id"))}
-        last = order_statistics(dated, tied, [("id", place)], {"id": counts["at"]})["id", place]
-        return (when < F.lit(cut)) | ((when == F.lit(cut)) & (F.col(key) <= F.lit(last)))
+        t, key_cut = F.lit(cuts[rows]), F.lit(last[str(rows), places[rows]])
+        return (when < t) | ((when == t) & (F.col(key) <= key_cut))
 
     first, second = before(n_train), before(n_train + n_valid)
     return df.withColumn(

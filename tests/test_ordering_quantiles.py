@@ -51,3 +51,20 @@ def test_order_statistics_property(spark, values):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, ["v"], [0.5])["v"] == [None]
+
+
+def test_top_k_is_trimmed_before_the_shuffle(spark):
+    from sumac.operators.neighbours import smallest_per_group
+
+    df = spark.range(100).withColumn("g", F.col("id") % 2)
+    plan = smallest_per_group(df, ["g"], ["id"], 3)._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[shuffle:], plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    from sumac.plans.catalogue import QUERIES
+
+    plan = QUERIES["lrmfp"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+    assert "IsNotNull(user_id)" in plan
