@@ -102,7 +102,9 @@ def ward_two_stage(df: DataFrame, columns: Sequence[str], k: int, micro: int = 1
         names = spark.createDataFrame([(*[r[c] for c in columns], int(g)) for r, g in zip(few, labels)], schema)
         return rows.join(F.broadcast(names), list(columns))
     vectors = _vectors(rows, columns)
-    model = KMeans(k=micro, seed=seed, featuresCol="_v", predictionCol="_micro").fit(vectors)
+    # Many small groups only need to tile the data, so random seeds and few rounds do.
+    tiles = KMeans(k=micro, seed=seed, initMode="random", maxIter=10, featuresCol="_v", predictionCol="_micro")
+    model = tiles.fit(vectors)
     grouped = freeze(model.transform(vectors).drop("_v"))
     sizes = {r["_micro"]: r["count"] for r in grouped.groupBy("_micro").count().collect()}
     used = sorted(sizes)

@@ -40,23 +40,23 @@ def iqr_mask(spark, folder):
 @query(
     "impute_mean",
     f"WITH {HOLED_LINES_SQL}, {_stats('avg({c}) AS {c}_m')} SELECT {_KEYS}, "
-    + _each("round(coalesce({c}, {c}_m), 6) AS {c}")
+    + _each("round(coalesce({c}, {c}_m), 4) AS {c}")
     + " FROM holed, s",
 )
 def impute_mean(spark, folder):
     lines = _lines(spark, folder)
-    return rounded(clean.ImputeMean(NUMBERS).fit(lines).transform(lines), *NUMBERS)
+    return rounded(clean.ImputeMean(NUMBERS).fit(lines).transform(lines), *NUMBERS, digits=4)
 
 
 @query(
     "impute_median",
     f"WITH {HOLED_LINES_SQL}, {_stats('quantile_cont({c}, 0.5) AS {c}_m')} SELECT {_KEYS}, "
-    + _each("coalesce({c}, {c}_m) AS {c}")
+    + _each("round(coalesce({c}, {c}_m), 6) AS {c}")
     + " FROM holed, s",
 )
 def impute_median(spark, folder):
     lines = _lines(spark, folder)
-    return clean.ImputeMedian(NUMBERS).fit(lines).transform(lines)
+    return rounded(clean.ImputeMedian(NUMBERS).fit(lines).transform(lines), *NUMBERS)
 
 
 @query(
@@ -72,7 +72,7 @@ def impute_mode(spark, folder):
 @query(
     "fit_stats_join",
     f"WITH {HOLED_LINES_SQL}, {_stats('avg({c}) AS {c}_m')} SELECT {_KEYS}, "
-    + _each("round({c} - {c}_m, 6) AS {c}")
+    + _each("round({c} - {c}_m, 4) AS {c}")
     + " FROM holed, s",
 )
 def fit_stats_join(spark, folder):
@@ -80,7 +80,7 @@ def fit_stats_join(spark, folder):
     # A scalar subquery: computed once, then a constant of the row projection.
     means = lines.agg(F.struct(*[F.avg(c).alias(c) for c in NUMBERS]).alias("m")).scalar()
     centred = lines.withColumn("_m", means).withColumns({c: F.col(c) - F.col(f"_m.{c}") for c in NUMBERS})
-    return rounded(centred.drop("_m"), *NUMBERS)
+    return rounded(centred.drop("_m"), *NUMBERS, digits=4)
 
 
 @query(
@@ -97,12 +97,12 @@ def scale_minmax(spark, folder):
 @query(
     "scale_standard",
     f"WITH {HOLED_LINES_SQL}, {_stats('avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s')} SELECT {_KEYS}, "
-    + _each("round(({c} - {c}_m) / {c}_s, 6) AS {c}")
+    + _each("round(({c} - {c}_m) / {c}_s, 4) AS {c}")
     + " FROM holed, s",
 )
 def scale_standard(spark, folder):
     lines = _lines(spark, folder)
-    return rounded(clean.ScaleStandard(NUMBERS).fit(lines).transform(lines), *NUMBERS)
+    return rounded(clean.ScaleStandard(NUMBERS).fit(lines).transform(lines), *NUMBERS, digits=4)
 
 
 _QUARTILES = "quantile_cont({c}, 0.25) AS {c}_a, quantile_cont({c}, 0.5) AS {c}_m, quantile_cont({c}, 0.75) AS {c}_b"
@@ -122,11 +122,11 @@ def scale_robust(spark, folder):
 @query(
     "winsorize",
     f"""WITH {HOLED_EVENTS_SQL}, s AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM holed)
-    SELECT event_id, CASE WHEN value < lo THEN lo WHEN value > hi THEN hi ELSE value END AS value FROM holed, s""",
+    SELECT event_id, round(CASE WHEN value < lo THEN lo WHEN value > hi THEN hi ELSE value END, 6) AS value FROM holed, s""",
 )
 def winsorize(spark, folder):
     events = holed_events(spark, folder).select("event_id", "value")
-    return clean.Winsorize(["value"]).fit(events).transform(events)
+    return rounded(clean.Winsorize(["value"]).fit(events).transform(events), "value")
 
 
 @query("log1p_step", "SELECT event_id, round(ln(1.0 + value), 9) AS value FROM events")
@@ -203,7 +203,7 @@ def label_encode(spark, folder):
     f"""WITH {HOLED_LINES_SQL}, s AS (SELECT quantile_cont(quantity, 0.5) AS qm, quantile_cont(price, 0.5) AS pm FROM holed),
     f AS (SELECT *, coalesce(quantity, qm) AS q, coalesce(price, pm) AS p FROM holed, s),
     m AS (SELECT avg(q) AS qa, stddev_pop(q) AS qs, avg(p) AS pa, stddev_pop(p) AS ps FROM f)
-    SELECT {_KEYS}, round((q - qa) / qs, 6) AS quantity, round((p - pa) / ps, 6) AS price,
+    SELECT {_KEYS}, round((q - qa) / qs, 4) AS quantity, round((p - pa) / ps, 4) AS price,
     CAST(l_returnflag = 'A' AS INTEGER) AS "l_returnflag_A", CAST(l_returnflag = 'N' AS INTEGER) AS "l_returnflag_N",
     CAST(l_returnflag = 'R' AS INTEGER) AS "l_returnflag_R" FROM f, m""",
 )
@@ -213,7 +213,7 @@ def column_branches(spark, folder):
         [([clean.ImputeMedian, clean.ScaleStandard], ["quantity", "price"]), ([clean.OneHot], ["l_returnflag"])],
         passthrough=KEYS,
     )
-    return rounded(prepared.fit(lines).transform(lines), "quantity", "price")
+    return rounded(prepared.fit(lines).transform(lines), "quantity", "price", digits=4)
 
 
 @query("step_compose")

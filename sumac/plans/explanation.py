@@ -84,8 +84,8 @@ def permutation_importance(spark, folder):
     f"""WITH {SCORED_SQL}, s AS (SELECT * FROM scored ORDER BY md5(event_id || '-{SEED}'), event_id LIMIT 1000),
     q AS (SELECT quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM s),
     g AS (SELECT lo + (hi - lo) * i / 49 AS grid_value FROM q, (SELECT unnest(range(50)) AS i))
-    SELECT grid_value, round(avg(CASE WHEN grid_value > 60 THEN 0.7 ELSE 0.2 END + k * 0.001 * (grid_value / 100)), 9) AS average,
-    count(*) AS n FROM s, g GROUP BY 1""",
+    SELECT round(grid_value, 6) AS grid_value, round(avg(CASE WHEN grid_value > 60 THEN 0.7 ELSE 0.2 END + k * 0.001 * (grid_value / 100)), 9) AS average,
+    count(*) AS n FROM s, g GROUP BY g.grid_value""",
 )
 def partial_dependence(spark, folder):
     def rule(x):
@@ -93,7 +93,8 @@ def partial_dependence(spark, folder):
 
     events = scored_events(spark, folder)
     predict = ops.as_scorer(rule, ["value", "k"])
-    return rounded(ops.partial_dependence(events, "event_id", ["value", "k"], "value", predict), "average", digits=9)
+    curve = ops.partial_dependence(events, "event_id", ["value", "k"], "value", predict)
+    return rounded(rounded(curve, "average", digits=9), "grid_value")
 
 
 _GRID = [0.0, 10.0, 50.0, 100.0]

@@ -30,13 +30,13 @@ def each(columns, select: str, source: str) -> str:
     + each(
         NUMBERS,
         """count({c}) AS "count", round(CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / count({c}), 6) AS mean,
-        round(stddev_samp({c}), 6) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS p25,
-        quantile_cont({c}, 0.5) AS p50, quantile_cont({c}, 0.75) AS p75, max({c}) AS max""",
+        round(stddev_samp({c}), 6) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS p25,
+        round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.75), 6) AS p75, max({c}) AS max""",
         "holed",
     ),
 )
 def describe_numeric(spark, folder):
-    return rounded(ops.describe_numeric(holed_lines(spark, folder), NUMBERS), "mean", "std")
+    return rounded(ops.describe_numeric(holed_lines(spark, folder), NUMBERS), "mean", "std", "p25", "p50", "p75")
 
 
 @query(
@@ -142,7 +142,7 @@ def histogram(spark, folder):
       quantile_cont({c}, 0.75) AS q3''', 'holed')})
     """
     + " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", any_value(q1) AS q1, any_value(median) AS median, any_value(q3) AS q3,
+        f"""SELECT '{c}' AS "column", round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median, round(any_value(q3), 6) AS q3,
         min({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_low,
         max({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_high,
         count({c}) FILTER ({c} NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
@@ -151,7 +151,7 @@ def histogram(spark, folder):
     ),
 )
 def boxplot_stats(spark, folder):
-    return ops.boxplot_stats(holed_lines(spark, folder), NUMBERS)
+    return rounded(ops.boxplot_stats(holed_lines(spark, folder), NUMBERS), "q1", "median", "q3")
 
 
 _FLAGS = ["returned", "finished", "discounted"]
