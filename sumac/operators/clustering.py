@@ -108,7 +108,7 @@ def ward_two_stage(df: DataFrame, columns: Sequence[str], k: int, micro: int = 1
     grouped = freeze(model.transform(vectors).drop("_v"))
     sizes = {r["_micro"]: r["count"] for r in grouped.groupBy("_micro").count().collect()}
     used = sorted(sizes)
-    centres = np.array([model.clusterCenters()[i] for i in used])
+    centres = np.array(model.clusterCenters())[used]
     labels = ward_merge(centres, np.array([sizes[i] for i in used]), k)
     names = spark.createDataFrame([(int(i), int(g)) for i, g in zip(used, labels)], "_micro int, cluster int")
     return grouped.join(F.broadcast(names), "_micro").drop("_micro")
