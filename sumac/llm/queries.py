@@ -23,3 +23,19 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
     found = simhash_groups(table(spark, folder, "documents"), shingle=3, distance=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from sumac.llm.bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = decode(encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN), path)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

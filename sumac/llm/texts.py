@@ -32,8 +32,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield batch.slice(start, step)
 
 
-def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
-    """Runs ``make()(batch)`` on bounded batches of a frame with a ``text`` column.
+def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]], column: str = "text") -> DataFrame:
+    """Runs ``make()(batch)`` on bounded batches of a frame sized by their ``column``.
 
     ``make`` is called once per task, for caches and tables; the inner function
     returns a dict of columns (pyarrow arrays, numpy arrays or lists).
@@ -41,7 +41,7 @@ def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in slices(batches):
+        for batch in slices(batches, column):
             yield as_batch(work(batch))
 
     return df.mapInArrow(run, schema)
