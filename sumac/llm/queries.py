@@ -39,3 +39,11 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from sumac.llm.substrings import without_repeats
+
+    found = without_repeats(table(spark, folder, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
