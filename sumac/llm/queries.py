@@ -47,3 +47,15 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     found = without_repeats(table(spark, folder, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from sumac.llm.toxicity import fit, score
+
+    docs = table(spark, folder, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = fit(docs, table(spark, folder, "labels"), train=fold != 0)
+    return score(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
