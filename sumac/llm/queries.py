@@ -59,3 +59,21 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score(docs, model).select(
         "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op4_top_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    from sumac.llm.knn import top_inner_products
+    from sumac.llm.vectors import finite
+
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    rows = table(spark, folder, "embeddings").filter(finite(F.col("embedding"))).select("vec_id", whole.alias("v"))
+    return top_inner_products(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op9_cosine_groups(spark: SparkSession, folder: str) -> DataFrame:
+    from sumac.llm.rangejoin import cosine_groups
+
+    found = cosine_groups(table(spark, folder, "embeddings"), cosine=0.95)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
