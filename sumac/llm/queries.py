@@ -77,3 +77,11 @@ def op9_cosine_groups(spark: SparkSession, folder: str) -> DataFrame:
 
     found = cosine_groups(table(spark, folder, "embeddings"), cosine=0.95)
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from sumac.llm.lines import deduplicated_lines
+
+    found = deduplicated_lines(table(spark, folder, "documents"), similarity=0.8)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
