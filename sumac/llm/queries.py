@@ -85,3 +85,12 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     found = deduplicated_lines(table(spark, folder, "documents"), similarity=0.8)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    from sumac.llm.ppm import score
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    found = score(table(spark, folder, "documents"), train=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
