@@ -9,7 +9,7 @@ import numpy as np
 from sumac.llm.ragged import Pool
 
 #: Distinct pieces a task remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 class PieceCache:

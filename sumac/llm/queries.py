@@ -94,3 +94,25 @@ def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     found = score(table(spark, folder, "documents"), train=~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from sumac.llm.packing import packed_sequences
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packed_sequences(table(spark, folder, "documents"), path, capacity=2048, end_id=0)
+
+
+@query
+def op7_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from sumac.llm.idfiles import ids_crc32, read_ids, write_ids
+    from sumac.session import scratch_path
+
+    path = scratch_path(spark, "ids")
+    write_ids(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=2, vocabulary=50257)
+    return ids_crc32(read_ids(spark, path, vocabulary=50257))
