@@ -282,8 +282,10 @@ def without_repeats(
     window: int = 20,
     period: int = 13,
     cover: Sequence[int] = (0, 1, 3, 9),
+    carry: Sequence[str] = (),
+    as_written: bool = False,
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): each word goes that lies in a window which also starts earlier.
+    """(doc_id, n_words, n_removed, kept, and the ``carry`` columns): each word goes that lies in a window which also starts earlier.
 
     Earlier means a smaller doc_id, or the same document further left. Anchors are windows of
     ``window - period + 1`` words whose position modulo ``period`` is in ``cover``. As
@@ -293,7 +295,8 @@ def without_repeats(
     A batch sends one entry per distinct anchor and window, so a passage in a third of
     all documents makes no large group.
 
-    Null and empty texts have no words and keep the empty string; rows without an id are left out;
+    ``kept`` joins the words that stay by one space; with ``as_written`` a text that
+    loses nothing stays as it is. Null and empty texts have no words and keep the empty string; rows without an id are left out;
     rows that repeat an id are judged as that one document; other columns are ignored.
     """
     if {(x - y) % period for x in cover for y in cover} != set(range(period)):
@@ -323,14 +326,20 @@ def without_repeats(
                     np.add.at(marks, starts + window, -1)
                     words = [words[k] for k in np.flatnonzero(np.cumsum(marks)[:-1] == 0).tolist()]
                 removed.append(n[-1] - len(words))
-                kept.append(b" ".join(words).decode("utf-8", "replace"))
+                whole = as_written and len(words) == n[-1]
+                kept.append((text.as_py() if whole else b" ".join(words)).decode("utf-8", "replace"))
             return {
                 "doc_id": batch.column("doc_id"),
                 "n_words": pa.array(n, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept": pa.array(kept, pa.string()),
+                **{f"_carry{k}": batch.column(f"_carry{k}") for k in range(len(carry))},
             }
 
         return work
 
-    return map_texts(texts.join(per_doc, "doc_id", "left"), "doc_id long, n_words long, n_removed long, kept string", make)
+    carried = id_and_text(docs, id_col, text_col, carry)
+    types = {f.name: f.dataType.simpleString() for f in carried.schema}
+    shape = ", ".join(["doc_id long, n_words long, n_removed long, kept string", *[f"_carry{k} {types[f'_carry{k}']}" for k in range(len(carry))]])
+    found = map_texts(carried.join(per_doc, "doc_id", "left"), shape, make)
+    return found.select("doc_id", "n_words", "n_removed", "kept", *[F.col(f"_carry{k}").alias(c) for k, c in enumerate(carry)])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,10 +14,15 @@ SLICE_BYTES = 8 << 20
 _CUT = re.compile(r" (?=\S)")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text as bytes): a null text is empty, rows without an id are left out, other columns are dropped."""
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, text as bytes): a null text is empty, rows without an id are left out.
+
+    Other columns are dropped, but those of ``carry`` go along as _carry0, _carry1, ..
+    """
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
+        *[F.col(c).alias(f"_carry{k}") for k, c in enumerate(carry)],
     ).filter(F.col("doc_id").isNotNull())
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -274,3 +276,17 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
         return work
 
     return map_texts(id_and_text(docs, id_col, text_col), "doc_id long, score double", make)
+
+
+def keep_clean(docs: DataFrame, model: ToxicityModel, text_col: str = "text", below: float = 0.5) -> DataFrame:
+    """The rows, all columns as they are, whose text scores below ``below``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[str, float] = {}
+        for texts in batches:
+            parts = [shared.value.scores(texts[at : at + 1000].fillna("").tolist(), cache) for at in range(0, len(texts), 1000)]
+            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+
+    return docs.filter(scores(F.col(text_col)) < below)
