@@ -240,39 +240,53 @@ def _candidates(texts: DataFrame, window: int, span: int, period: int, cover, bi
 
 
 def _late_windows(sent: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, starts): per task and document, the window starts that an equal window precedes."""
-
-    def by_doc(docs: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((starts, docs))
-        parts = _cut(order, docs)
-        return as_batch(
-            {
-                "doc_id": pa.array([k for k, _ in parts], pa.int64()),
-                "starts": pa.array([_planes(starts[p]) for _, p in parts], pa.binary()),
-            }
-        )
+    """(doc_id, starts): for each document that has any, the window starts that an equal window precedes.
+
+    Tasks that compare windows send one packed row to each task that gathers documents.
+    """
+
+    def concatenated(parts: list[tuple]):
+        return map(np.concatenate, zip(*parts))
 
     def reduce(batches):
         held: dict[int, list[tuple]] = {}
+        late: list[tuple] = []
         for batch in batches:
             for row in batch.to_pylist():
                 docs, starts = _unpacked(row)
                 if row["a"] is None:
-                    yield by_doc(docs, starts)
+                    late.append((docs, starts))
                 else:
                     held.setdefault(row["bucket"], []).append(
                         (docs, starts, np.frombuffer(row["a"], np.uint64), np.frombuffer(row["b"], np.uint32))
                     )
-        late_docs, late_starts = [], []
         while held:
-            docs, starts, a, b = map(np.concatenate, zip(*held.popitem()[1]))
-            order, late = _not_first(docs, starts, a, b)
-            late_docs.append(docs[order[late]])
-            late_starts.append(starts[order[late]])
-        if late_docs:
-            yield by_doc(np.concatenate(late_docs), np.concatenate(late_starts))
+            docs, starts, a, b = concatenated(held.popitem()[1])
+            order, after = _not_first(docs, starts, a, b)
+            late.append((docs[order[after]], starts[order[after]]))
+        if late:
+            docs, starts = concatenated(late)
+            order = np.lexsort((starts, docs))
+            docs, starts = docs[order], starts[order]
+            targets = (_mixed(docs.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+            rows = [_packed(t, docs[p], starts[p]) for t, p in _cut(np.argsort(targets, kind="stable"), targets)]
+            yield as_batch({k: pa.array([r[k] for r in rows], _SENT.field(k).type) for k in ("bucket", "docs", "counts", "starts")})
+
+    def gather(batches):
+        parts = [_unpacked(row) for batch in batches for row in batch.to_pylist()]
+        if parts:
+            docs, starts = concatenated(parts)
+            order = np.lexsort((starts, docs))
+            found = _cut(order, docs)
+            yield as_batch(
+                {
+                    "doc_id": pa.array([k for k, _ in found], pa.int64()),
+                    "starts": pa.array([_planes(starts[p]) for _, p in found], pa.binary()),
+                }
+            )
 
-    return sent.repartition(1 << bits, "bucket").mapInArrow(reduce, "doc_id long, starts binary")
+    packed = sent.repartition(1 << bits, "bucket").mapInArrow(reduce, "bucket long, docs binary, counts binary, starts binary")
+    return packed.repartition(1 << bits, "bucket").mapInArrow(gather, "doc_id long, starts binary")
 
 
 def without_repeats(
@@ -311,17 +325,16 @@ def without_repeats(
     repeated = freeze(_repeated_anchors(texts, span, period, cover, bits), "anchors")
     known = spark.sparkContext.broadcast(_filter(repeated, bits))
     late = freeze(_late_windows(_candidates(texts, window, span, period, cover, bits, known), bits), "late")
-    per_doc = late.groupBy(F.col("doc_id")).agg(F.collect_list("starts").alias("starts"))
 
     def make():
         def work(batch):
             n, removed, kept = [], [], []
-            for text, parts in zip(batch.column("text"), batch.column("starts").to_pylist()):
+            for text, late_starts in zip(batch.column("text"), batch.column("starts").to_pylist()):
                 words = text.as_py().split()
                 n.append(len(words))
-                if parts:
+                if late_starts:
                     marks = np.zeros(len(words) + 1, np.int64)
-                    starts = np.concatenate([_from_planes(p) for p in parts])
+                    starts = _from_planes(late_starts)
                     np.add.at(marks, starts, 1)
                     np.add.at(marks, starts + window, -1)
                     words = [words[k] for k in np.flatnonzero(np.cumsum(marks)[:-1] == 0).tolist()]
@@ -341,5 +354,5 @@ def without_repeats(
     carried = id_and_text(docs, id_col, text_col, carry)
     types = {f.name: f.dataType.simpleString() for f in carried.schema}
     shape = ", ".join(["doc_id long, n_words long, n_removed long, kept string", *[f"_carry{k} {types[f'_carry{k}']}" for k in range(len(carry))]])
-    found = map_texts(carried.join(per_doc, "doc_id", "left"), shape, make)
+    found = map_texts(carried.join(late, "doc_id", "left"), shape, make)
     return found.select("doc_id", "n_words", "n_removed", "kept", *[F.col(f"_carry{k}").alias(c) for k, c in enumerate(carry)])
