@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -121,8 +122,8 @@ def fit_words(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 1
     ones. Each round the words of highest margin in toxic texts join the positive examples and those in
     clean texts the negative ones.
     """
-    sets1 = [{w.strip(_EDGES) for w in t} - {""} for t in toxic]
-    sets0 = [{w.strip(_EDGES) for w in t} - {""} for t in clean]
+    bare = {w: sys.intern(w.strip(_EDGES)) for t in (*toxic, *clean) for w in t}
+    sets1, sets0 = ([{bare[w] for w in t} - {""} for t in texts] for texts in (toxic, clean))
     in1, in0 = Counter(w for s in sets1 for w in s), Counter(w for s in sets0 for w in s)
     n1, n0 = len(sets1), len(sets0)
     if not n1 or not n0:
@@ -147,7 +148,7 @@ def fit_words(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 1
 
     def fit(good_words: list[str], bad_words: list[str]) -> WordScorer:
         words = [*good_words, *bad_words]
-        x = np.concatenate([kernel_vectors(words[k : k + 500]) @ base.T for k in range(0, len(words), 500)]) @ root
+        x = np.concatenate([kernel_vectors(words[k : k + 64]) @ base.T for k in range(0, len(words), 64)]) @ root
         y = np.array([1.0] * len(good_words) + [-1.0] * len(bad_words))
         cost = np.where(y > 0, 20.0 * max(1, len(bad_words) / len(good_words)) ** 0.5, 20.0)
         w = _squared_hinge(x, y, cost)
@@ -218,7 +219,7 @@ def fit(
     train: Column | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
-    per_class: int = 4000,
+    per_class: int = 2000,
     longest: int = 32_768,
 ) -> ToxicityModel:
     """Learns from at most ``per_class`` labelled texts of each class, of at most ``longest`` bytes each.
@@ -240,7 +241,8 @@ def fit(
     # At most 2 * per_class rows of two columns.
     rows = sizes.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("doc_id", "text", "bad").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    lists = [(tokens(r["text"]), r["bad"]) for r in rows]
+    shared: dict[str, str] = {}  # one object per distinct word
+    lists = [([shared.setdefault(w, w) for w in tokens(r["text"])], r["bad"]) for r in rows]
     total = max(1, sum(counts.values()))
     share = (counts.get(True, 0) + 0.5) / (total + 1)
     words = fit_words([t for t, bad in lists if bad], [t for t, bad in lists if not bad])
