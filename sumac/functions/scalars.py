@@ -30,8 +30,8 @@ def round_even(value: Column, digits: int) -> Column:
 
 
 def money_mean(value: Column) -> Column:
-    """Mean of two-digit amounts, summed exactly so row order cannot matter."""
-    total = F.sum(value.cast("decimal(18,2)")).cast("double")
+    """Mean of amounts, summed exactly to 12 digits so row order cannot matter."""
+    total = F.sum(value.cast("decimal(38,12)")).cast("double")
     return F.try_divide(total, F.count(value).cast("double"))
 
 

@@ -16,9 +16,9 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 from sumac.functions.scalars import clip
-from sumac.operators.profile import most_frequent
 from sumac.operators.quantiles import exact_quantiles
 
 
@@ -143,13 +143,17 @@ class ImputeMedian(_Step):
 
 
 class ImputeMode(_Step):
-    """Most frequent value, the smallest on ties (compared as text)."""
+    """Most frequent value; on ties the smallest in the order of its type."""
 
     model = Fill
 
     def learn(self, df, columns):
-        found = {r["column"]: r["top"] for r in most_frequent(df, columns).collect()}
-        return {c: found.get(c) for c in columns}
+        found = {}
+        for c in columns:
+            counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+            top = counts.orderBy(F.desc("_n"), c).limit(1).select(F.col(c).cast("string")).first()
+            found[c] = top[0] if top else None
+        return found
 
 
 # --- scaling -----------------------------------------------------------------
@@ -219,12 +223,16 @@ def _categories(df: DataFrame, columns: list[str]) -> dict[str, list[tuple[str,
         .agg(F.count(F.lit(1)).alias("n"))
     )
     limit = 10_000
-    rows = counts.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories in {columns}: not a categorical column")
+    rows = counts.limit(limit * len(columns) + 1).collect()
     out: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
-    for row in sorted(rows, key=lambda r: r["value"]):
+    for row in rows:
         out[row["column"]].append((row["value"], row["n"]))
+    wide = [c for c, found in out.items() if len(found) > limit]
+    if wide or len(rows) > limit * len(columns):
+        raise ValueError(f"more than {limit} categories in {wide or columns}: not a categorical column")
+    numbers = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
+    for c, found in out.items():
+        found.sort(key=lambda r: (float(r[0]), r[0]) if c in numbers else r[0])
     return out
 
 

@@ -23,7 +23,7 @@ def _daily(df: DataFrame, customer: str, date: str, amount: Column) -> DataFrame
             F.min(date).alias("first"),
             F.max(date).alias("last"),
             F.count(date).alias("visits"),
-            F.sum(amount.cast("decimal(18,2)")).alias("money"),
+            F.sum(amount.cast("decimal(38,12)")).alias("money"),
             F.count(amount).alias("priced"),
         )
     )

@@ -101,8 +101,9 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def nunique(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct non-null values per column."""
-    counts = _long_counts(df, list(columns or df.columns))
-    return counts.groupBy("column").agg(F.count("value").alias("n_unique"))
+    columns = list(columns or df.columns)
+    # Counted as typed values: 0.0 and -0.0 are one.
+    return _one_row_per_column(df.agg(*[F.count_distinct(c).alias(f"{c}__n_unique") for c in columns]), columns, {"n_unique": "long"})
 
 
 def min_max_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -199,8 +200,8 @@ def binary_table(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     zeros = [F.count_if(F.coalesce(F.col(c).cast("int"), F.lit(0)) == 0).alias(f"{c}__n_0") for c in flags]
     long = _one_row_per_column(df.agg(*ones, *zeros), flags, {"n_0": "long", "n_1": "long"})
     total = F.col("n_0") + F.col("n_1")
-    percent = F.rint(F.try_divide(F.col("n_1") * 100.0, total.cast("double")) * 1000.0) / 1000.0
-    return long.withColumns({"n_total": total, "pct_1": percent}).orderBy(F.desc("pct_1"), "column")
+    share = F.rint(F.try_divide(F.col("n_1").cast("double"), total.cast("double")) * 1000.0) / 1000.0
+    return long.withColumns({"n_total": total, "pct_1": share}).orderBy(F.desc("pct_1"), "column")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], upper_only: bool = False) -> DataFrame:

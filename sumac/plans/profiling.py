@@ -163,7 +163,7 @@ _FLAGS = ["returned", "finished", "discounted"]
     + each(
         _FLAGS,
         """CAST(count(*) FILTER ({c} = 0) AS BIGINT) AS n_0, CAST(count(*) FILTER ({c} = 1) AS BIGINT) AS n_1,
-        count(*) AS n_total, round_even(count(*) FILTER ({c} = 1) * 100.0 / count(*) * 1000.0, 0) / 1000.0 AS pct_1""",
+        count(*) AS n_total, round_even(CAST(count(*) FILTER ({c} = 1) AS DOUBLE) / count(*) * 1000.0, 0) / 1000.0 AS pct_1""",
         "flags",
     ),
 )
