@@ -105,9 +105,10 @@ def pack(parts: DataFrame, capacity: int) -> DataFrame:
     names = parts.columns
 
     def run(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = list(batches)
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         of = table.column("_group").to_numpy()
         for group in np.unique(of):
             own = table.filter(pa.array(of == group))
