@@ -29,14 +29,13 @@ def average_path(n: float) -> float:
 def _samples(df: DataFrame, key: str, trees: int, rows: int, seed: int) -> DataFrame:
     """``rows`` rows per tree without replacement.
 
-    A large table deals its rows out to the trees by hash, so each row is looked
-    at once; a small one offers every row to every tree.
+    Each row is offered to consecutive trees from a hashed one on: to so many that every tree can
+    choose from about four times its rows, to all trees of a short table, to one of a long one.
     """
-    enough = df.limit(4 * trees * rows + 1).count() > 4 * trees * rows
-    if enough:
-        dealt = df.withColumn("tree", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(trees)).cast("int"))
-    else:
-        dealt = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    offers = min(trees, max(1, -(-4 * trees * rows // max(1, df.count()))))
+    first = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(trees))
+    dealt = df.withColumn("_offer", F.explode(F.sequence(F.lit(0), F.lit(offers - 1))))
+    dealt = dealt.withColumn("tree", ((first + F.col("_offer")) % trees).cast("int")).drop("_offer")
     dealt = dealt.withColumn("_token", F.md5(F.concat_ws("-", F.col(key).cast("string"), "tree", F.lit(seed)).cast("binary")))
     return smallest_per_group(dealt, ["tree"], ["_token", key], rows)
 

@@ -1,11 +1,10 @@
 """Exact quantiles and order statistics without sorting the table.
 
-Small inputs use Spark's exact ``percentile``. Its buffer holds every distinct
-value, so above ``exact_rows`` values the wanted ranks are bracketed with
-``approx_percentile`` (bounded sketches, merged map-side), the rows inside each
-bracket are counted, and the bracket shrinks by about the sketch accuracy per
-round until what is left fits a small bounded buffer. Every round is one
-scan-and-aggregate for all columns; the result is exact.
+The wanted ranks are bracketed with ``approx_percentile`` (bounded sketches, merged
+map-side), the rows inside each bracket are counted, and the bracket shrinks by about the
+sketch accuracy per round until what is left fits a small buffer, whose bound all targets
+share. Every round is one scan-and-aggregate for all columns; the result is exact, and
+tables of every size take the same way.
 """
 
 from __future__ import annotations
@@ -15,49 +14,28 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-EXACT_ROWS = 200_000
 BUFFER_ROWS = 50_000
 ACCURACY = 10_000
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    exact_rows: int = EXACT_ROWS,
-    buffer_rows: int = BUFFER_ROWS,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], buffer_rows: int = BUFFER_ROWS
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; NULL and NaN are ignored."""
     clean = df.select([_finite(c).alias(c) for c in columns])
     counts = clean.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    small = [c for c in columns if counts[c] <= exact_rows]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        grid = F.array(*[F.lit(float(p)) for p in probs])
-        row = clean.agg(*[F.percentile(c, grid).alias(c) for c in small]).first()
-        for c in small:
-            out[c] = list(row[c]) if row[c] is not None else [None] * len(probs)
-    wanted = {}
-    for c in columns:
-        if c in out:
-            continue
-        for p in probs:
-            place = p * (counts[c] - 1)
-            wanted[c, math.floor(place)] = wanted[c, math.ceil(place)] = True
-    if wanted:
-        values = order_statistics(
-            clean, {c: F.col(c) for c in columns if c not in out}, list(wanted), counts, buffer_rows
-        )
-        for c in columns:
-            if c in out:
-                continue
-            row = []
-            for p in probs:
-                place = p * (counts[c] - 1)
-                low, high = values[c, math.floor(place)], values[c, math.ceil(place)]
-                row.append(low + (high - low) * (place - math.floor(place)))
-            out[c] = row
-    return out
+    places = {(c, p): p * (counts[c] - 1) for c in columns if counts[c] for p in probs}
+    wanted = {(c, side(place)): True for (c, _), place in places.items() for side in (math.floor, math.ceil)}
+    values = order_statistics(clean, {c: F.col(c) for c in columns}, list(wanted), counts, buffer_rows)
+
+    def quantile(c: str, p: float) -> float | None:
+        if not counts[c]:
+            return None
+        place = places[c, p]
+        low, high = values[c, math.floor(place)], values[c, math.ceil(place)]
+        return low + (high - low) * (place - math.floor(place))
+
+    return {c: [quantile(c, p) for p in probs] for c in columns}
 
 
 def order_statistics(
@@ -67,7 +45,7 @@ def order_statistics(
     counts: Mapping[str, int],
     buffer_rows: int = BUFFER_ROWS,
 ) -> dict[tuple[str, int], float]:
-    """Exact k-th smallest (0-based) values; ``targets`` lists (expression, k)."""
+    """Exact k-th smallest (0-based) numbers; ``targets`` lists (expression, k)."""
     data = df.select([e.alias(n) for n, e in exprs.items()])
     # Per target: open value bounds, rows at or below the lower one, rows strictly inside.
     state = {t: (None, None, 0, counts[t[0]]) for t in targets}
@@ -77,10 +55,10 @@ def order_statistics(
         shared: dict[tuple, list[int]] = {}
         for (c, k), (low, high, below, inside) in state.items():
             shared.setdefault((c, low, high, below, inside), []).append(k)
-        sketches, slack = [], 2.0 / ACCURACY
+        sketches, slack, room = [], 2.0 / ACCURACY, buffer_rows // len(shared)
         for i, ((c, low, high, below, inside), ranks) in enumerate(shared.items()):
             held = F.when(_inside(c, low, high), F.col(c))
-            if inside <= buffer_rows:
+            if inside <= room:
                 sketches.append(F.sort_array(F.collect_list(held)).alias(f"t{i}"))
                 continue
             shares = [(k - below + 0.5) / inside for k in ranks]
@@ -90,7 +68,7 @@ def order_statistics(
         brackets = {}
         for i, ((c, _, _, below, inside), ranks) in enumerate(shared.items()):
             for n, k in enumerate(ranks):
-                if inside <= buffer_rows:
+                if inside <= room:
                     done[c, k] = found[f"t{i}"][k - below]
                     del state[c, k]
                 else:

@@ -1,8 +1,4 @@
-"""Hold-out splits decided per row.
-
-The cut points are found with small aggregates; assigning rows is then a plain
-projection, so the (wide) table itself is never shuffled or sorted.
-"""
+"""Hold-out splits decided per row, for any number of classes and any type of key."""
 
 from __future__ import annotations
 
@@ -14,104 +10,46 @@ from sumac.functions.scalars import elapsed_micros, seeded_hash
 from sumac.operators.ordering import global_rank
 from sumac.operators.quantiles import order_statistics
 
-_SMALL = 10_000
-_MAX_CLASSES = 10_000
 
+def _ranked(df: DataFrame, key: str, label: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_rank`` in the order (class, seeded token), and (_class, _start, _n) per class.
 
-def class_counts(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(_MAX_CLASSES + 1).collect()
-    if len(rows) > _MAX_CLASSES:
-        raise ValueError(f"{label} has more than {_MAX_CLASSES} values: not a class label")
-    return {row[label]: row["n"] for row in rows}
+    One global order replaces a window per class, so a class with most of the rows is still
+    spread over many tasks.
+    """
+    token = df.withColumn("_token", seeded_hash(F.col(key), seed))
+    ranked = global_rank(token, [F.asc_nulls_first(label), "_token", key], "_rank").drop("_token")
+    classes = ranked.groupBy(F.col(label).alias("_class")).agg(F.min("_rank").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    return ranked, classes
 
 
-def train_quotas(counts: dict, test_fraction: float) -> dict:
-    """Training rows per class: proportional, leftovers to the largest remainders."""
-    total = sum(counts.values())
+def _quotas(classes: DataFrame, test_fraction: float) -> DataFrame:
+    """Adds ``_quota``, the training rows per class: proportional, leftovers to the largest remainders."""
+    total = classes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     wanted = total - math.ceil(test_fraction * total)
-    quotas, remainders = {}, []
-    for label in sorted(counts, key=lambda v: (v is not None, v)):
-        whole, rest = divmod(counts[label] * wanted, total) if total else (0, 0)
-        quotas[label] = whole
-        remainders.append((-rest, len(remainders), label))
-    for _, _, label in sorted(remainders)[: wanted - sum(quotas.values())]:
-        quotas[label] += 1
-    return quotas
-
-
-def _token_cuts(df: DataFrame, label: str, token: Column, quotas: dict, counts: dict) -> dict:
-    """Per class the ``quota``-th smallest token, by narrowing its hex prefix."""
-    data = df.select(F.col(label).alias("label"), token.alias("token"))
-    state = {c: ("", q) for c, q in quotas.items() if q > 0}
-    cuts: dict = {}
-    small: dict = {}
-    width, largest = 0, max(counts.values(), default=0)
-    while state:
-        # As many hex digits as bring a bucket down to the small size, three at most.
-        digits = math.ceil(math.log(max(largest / max(_SMALL, 1), 2), 16))
-        width += min(3, max(1, digits))
-        largest /= 16 ** min(3, max(1, digits))
-        wanted = F.lit(False)
-        for c, (prefix, _) in state.items():
-            wanted = wanted | (F.col("label").eqNullSafe(F.lit(c)) & F.startswith("token", F.lit(prefix)))
-        rows = (
-            data.filter(wanted)
-            .groupBy("label", F.substring("token", 1, width).alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        per_class: dict = {}
-        for row in rows:
-            per_class.setdefault(row["label"], []).append((row["prefix"], row["n"]))
-        for c, (_, need) in list(state.items()):
-            for prefix, n in sorted(per_class[c]):
-                if need <= n:
-                    break
-                need -= n
-            state[c] = (prefix, need)
-            if n <= _SMALL or width >= 32:
-                small[c] = state.pop(c)
-    if small:
-        wanted = F.lit(False)
-        for c, (prefix, _) in small.items():
-            wanted = wanted | (F.col("label").eqNullSafe(F.lit(c)) & F.startswith("token", F.lit(prefix)))
-        last = data.filter(wanted).groupBy("label").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-        for row in last.collect():
-            cuts[row["label"]] = row["tokens"][small[row["label"]][1] - 1]
-    return cuts
+    product = F.col("_n").cast("decimal(38,0)") * F.lit(wanted).cast("decimal(19,0)")
+    rest = (product % F.lit(max(total, 1))).cast("long")
+    shared = classes.withColumns({"_rest": rest, "_quota": F.floor((product - rest) / F.lit(max(total, 1))).cast("long")})
+    placed = global_rank(shared, [F.desc("_rest"), F.asc_nulls_first("_class")], "_place")
+    left = wanted - placed.agg(F.coalesce(F.sum("_quota"), F.lit(0))).first()[0]
+    return placed.withColumn("_quota", F.col("_quota") + (F.col("_place") <= left).cast("long")).drop("_place", "_rest")
 
 
 def stratified_split(
     df: DataFrame, key: str, label: str, test_fraction: float, seed: int = 42, name: str = "split"
 ) -> DataFrame:
     """Adds ``train``/``test``; class shares are kept exactly. ``key`` must be unique."""
-    token = seeded_hash(F.col(key), seed)
-    counts = class_counts(df, label)
-    cuts = _token_cuts(df, label, token, train_quotas(counts, test_fraction), counts)
-    in_train = F.lit(False)
-    for c, cut in cuts.items():
-        in_train = in_train | (F.col(label).eqNullSafe(F.lit(c)) & (token <= F.lit(cut)))
-    return df.withColumn(name, F.when(in_train, "train").otherwise("test"))
+    ranked, classes = _ranked(df, key, label, seed)
+    placed = ranked.join(_quotas(classes, test_fraction), F.col(label).eqNullSafe(F.col("_class")))
+    in_train = F.col("_rank") - F.col("_start") < F.col("_quota")
+    return placed.withColumn(name, F.when(in_train, "train").otherwise("test")).select(*df.columns, name)
 
 
 def split_rank(df: DataFrame, key: str, label: str, seed: int = 42, name: str = "rank") -> DataFrame:
-    """1-based position inside the class, in the seeded order.
-
-    One global order over (class, token) replaces a window per class, so a class
-    with most of the rows is still spread over many tasks.
-    """
-    starts, seen = [], 0
-    counts = class_counts(df, label)
-    for c in sorted(counts, key=lambda v: (v is not None, v)):
-        starts.append((c, seen))
-        seen += counts[c]
-    ranked = global_rank(
-        df.withColumn("_token", seeded_hash(F.col(key), seed)), [F.asc_nulls_first(label), "_token", key], name
-    )
-    offset = F.lit(0)
-    for c, start in starts:
-        offset = F.when(F.col(label).eqNullSafe(F.lit(c)), F.lit(start)).otherwise(offset)
-    return ranked.withColumn(name, F.col(name) - offset).drop("_token")
+    """1-based position inside the class, in the seeded order."""
+    ranked, classes = _ranked(df, key, label, seed)
+    placed = ranked.join(classes, F.col(label).eqNullSafe(F.col("_class")))
+    return placed.withColumn(name, F.col("_rank") - F.col("_start") + 1).select(*df.columns, name)
 
 
 def chronological_split(
@@ -138,19 +76,18 @@ def chronological_split(
     ranks = [r for r in (n_train, n_train + n_valid) if r > 0]
     found = order_statistics(dated, {"t": F.col("t")}, [("t", r - 1) for r in ranks], {"t": total})
     cuts = {r: found["t", r - 1] for r in ranks}
-    tied = {str(r): F.when(F.col("t") == F.lit(t), F.col("id")) for r, t in cuts.items()}
     below = [F.count_if(F.col("t") < F.lit(t)).alias(f"below{r}") for r, t in cuts.items()]
-    at = [F.count(e).alias(f"at{r}") for r, e in tied.items()]
-    seen = dated.agg(*below, *at).first() if cuts else {}
-    places = {r: r - seen[f"below{r}"] - 1 for r in cuts}
-    last = order_statistics(
-        dated, tied, [(str(r), k) for r, k in places.items()], {str(r): seen[f"at{r}"] for r in cuts}
-    )
+    seen = dated.agg(*below).first() if cuts else {}
+    last = {}
+    for r, t in cuts.items():
+        # Only the rows of that one date are ordered by key, whatever its type.
+        tied = global_rank(dated.filter(F.col("t") == F.lit(t)), ["id"], "_rank")
+        last[r] = tied.filter(F.col("_rank") == r - seen[f"below{r}"]).first()["id"]
 
     def before(rows: int) -> Column:
         if rows not in cuts:
             return F.lit(False)
-        t, key_cut = F.lit(cuts[rows]), F.lit(last[str(rows), places[rows]])
+        t, key_cut = F.lit(cuts[rows]), F.lit(last[rows])
         return (when < t) | ((when == t) & (F.col(key) <= key_cut))
 
     first, second = before(n_train), before(n_train + n_valid)

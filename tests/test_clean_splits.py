@@ -1,3 +1,4 @@
+import math
 import tempfile
 
 import pytest
@@ -85,21 +86,31 @@ def test_saved_steps_give_the_same_result(spark):
     assert PipelineModel.load(path).transform(df).collect() == model.transform(df).collect()
 
 
+def _train_quotas(counts, test_fraction):
+    """Largest remainders, by hand."""
+    total = sum(counts.values())
+    wanted = total - math.ceil(test_fraction * total)
+    quotas = {c: n * wanted // total for c, n in counts.items()}
+    order = sorted(counts, key=lambda c: (-(counts[c] * wanted % total), c))
+    for c in order[: wanted - sum(quotas.values())]:
+        quotas[c] += 1
+    return quotas
+
+
 @pytest.mark.parametrize("sizes", [(10, 5), (70, 29, 1), (1, 1), (400, 3)])
 def test_stratified_split_quotas(spark, sizes):
     rows = [(i, f"c{c}") for c, n in enumerate(sizes) for i in range(1000 * c, 1000 * c + n)]
     df = spark.createDataFrame(rows, "id long, y string")
     out = splits.stratified_split(df, "id", "y", 0.3)
     got = {(r["y"], r["split"]): r["n"] for r in out.groupBy("y", "split").agg(F.count("*").alias("n")).collect()}
-    quotas = splits.train_quotas({f"c{c}": n for c, n in enumerate(sizes)}, 0.3)
+    quotas = _train_quotas({f"c{c}": n for c, n in enumerate(sizes)}, 0.3)
     assert sum(quotas.values()) == sum(sizes) - -(-3 * sum(sizes) // 10)
     for y, q in quotas.items():
         assert got.get((y, "train"), 0) == q
     assert out.count() == sum(sizes)
 
 
-def test_token_cut_narrows_when_a_bucket_is_large(spark, monkeypatch):
-    monkeypatch.setattr(splits, "_SMALL", 0)
+def test_one_class_splits_in_half(spark):
     df = spark.range(500).withColumn("y", F.lit(1))
     out = splits.stratified_split(df, "id", "y", 0.5)
     assert out.filter("split = 'train'").count() == 250
@@ -111,3 +122,22 @@ def test_chronological_split_with_one_hot_day(spark):
     out = splits.chronological_split(df, "t", "id").orderBy("t", "id").collect()
     # 70% of 60, then 33% of the remaining 18 rounded up.
     assert [r["split"] for r in out] == ["train"] * 42 + ["valid"] * 12 + ["test"] * 6
+
+
+def test_split_of_thousands_of_classes(spark):
+    df = spark.range(6000).select("id", (F.col("id") % 2000).alias("y"))
+    out = splits.stratified_split(df, "id", "y", 1 / 3)
+    rows = out.groupBy("y").pivot("split", ["train", "test"]).count().groupBy("train", "test").count().collect()
+    assert [tuple(r) for r in rows] == [(2, 1, 2000)]
+    ranks = splits.split_rank(df, "id", "y").groupBy("y").agg(F.sort_array(F.collect_list("rank")).alias("r"))
+    assert [r["r"] for r in ranks.select("r").distinct().collect()] == [[1, 2, 3]]
+
+
+def test_chronological_split_orders_text_keys_of_one_date(spark):
+    df = spark.range(60_000).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("id"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("t"))
+    ends = splits.chronological_split(df, "t", "id").groupBy("split").agg(F.count(F.lit(1)), F.min("id"), F.max("id")).collect()
+    assert sorted(tuple(r) for r in ends) == [
+        ("test", 5940, "k054060", "k059999"),
+        ("train", 42000, "k000000", "k041999"),
+        ("valid", 12060, "k042000", "k054059"),
+    ]
