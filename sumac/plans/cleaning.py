@@ -279,6 +279,18 @@ def stratified_split(spark, folder):
     return splits.stratified_split(orders, "o_orderkey", "o_orderpriority", 0.3, 42)
 
 
+@query(
+    "stratified_split_many",
+    _QUOTA_SQL.replace("o_orderpriority", "o_custkey")
+    + """ SELECT o_orderkey, o_custkey, CASE WHEN rank <= quota THEN 'train' ELSE 'test' END AS split
+    FROM o JOIN r ON label = o_custkey""",
+)
+def stratified_split_many(spark, folder):
+    """A class per customer: thousands of classes, growing with the table."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return splits.stratified_split(orders, "o_orderkey", "o_custkey", 0.3, 42)
+
+
 @query("split_rank", _QUOTA_SQL + " SELECT o_orderkey, o_orderpriority, rank FROM o")
 def split_rank(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
