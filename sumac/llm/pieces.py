@@ -15,8 +15,8 @@ REMEMBERED = 500_000
 class PieceCache:
     """``encode(list of strings) -> (ids, lengths)`` remembered per string."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], remembered: int = REMEMBERED):
+        self.encode, self.remembered = encode, remembered
         self._clear()
 
     def _clear(self) -> None:
@@ -25,7 +25,7 @@ class PieceCache:
 
     def numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
         """One array of piece numbers per text; valid until the next call."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self._clear()
         fresh = list(set().union(*texts).difference(self.known)) if texts else []
         if fresh:
