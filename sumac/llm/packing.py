@@ -16,6 +16,9 @@ from sumac.session import freeze
 #: Pieces that one task packs together; each such group ends with at most one sequence that is far from full.
 GROUP = 200_000
 
+#: Distinct words a worker remembers: about 0.2 GB.
+REMEMBERED = 1_000_000
+
 
 def fullest(room: int, counts: list[int], lengths: list[int]) -> list[int]:
     """Available lengths whose sum comes closest to ``room`` without passing it.
@@ -74,7 +77,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str =
     definition = docs.sparkSession.sparkContext.broadcast(read_tokenizer(path))
 
     def make():
-        encode = encoder(definition.value, by_spaces).ids
+        encode = encoder(definition.value, by_spaces, REMEMBERED).ids
 
         def work(batch):
             all_ids = [np.append(ids, end_id).astype("<u4") for ids in encode([t.as_py() for t in batch.column("text")])]

@@ -8,7 +8,7 @@ from itertools import chain
 
 import numpy as np
 
-from sumac.llm.pieces import PieceCache
+from sumac.llm.pieces import REMEMBERED, PieceCache
 from sumac.llm.texts import units
 
 
@@ -34,16 +34,16 @@ class TextEncoder:
     New pieces are tokenized in lists of bounded length, without offsets.
     """
 
-    #: Pieces handed over at once, and distinct pieces remembered: about 0.2 GB in each worker.
-    TOGETHER, REMEMBERED = 4096, 1_000_000
+    #: Pieces handed over at once.
+    TOGETHER = 4096
 
-    def __init__(self, definition: str, cut: Callable[[str], list[str]]):
+    def __init__(self, definition: str, cut: Callable[[str], list[str]], remembered: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(definition)
         self.model.encode_special_tokens = True
-        self.cut, self.cache = cut, PieceCache(self._encode, self.REMEMBERED)
+        self.cut, self.cache = cut, PieceCache(self._encode, remembered)
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         sizes, flat = np.zeros(len(pieces), np.int64), [np.empty(0, np.int32)]
@@ -61,10 +61,10 @@ class TextEncoder:
 _KEPT: dict[tuple, TextEncoder] = {}
 
 
-def encoder(definition: str, cut: Callable[[str], list[str]]) -> TextEncoder:
+def encoder(definition: str, cut: Callable[[str], list[str]], remembered: int = REMEMBERED) -> TextEncoder:
     """The encoder of this worker process; its remembered pieces serve later tasks too."""
-    key = (hash(definition), cut.__name__)
+    key = (hash(definition), cut.__name__, remembered)
     if key not in _KEPT:
         _KEPT.clear()
-        _KEPT[key] = TextEncoder(definition, cut)
+        _KEPT[key] = TextEncoder(definition, cut, remembered)
     return _KEPT[key]
