@@ -114,6 +114,27 @@ def test_lines(docs):
     assert deduplicated_lines(docs.limit(0)).collect() == []
 
 
+def brute_lines_removed(lines):
+    """How many of these lines, in this order, stand after another one of their group."""
+    sets = [{x[k : k + 5] for k in range(len(x) - 4)} or {x} for x in lines]
+    links = [(a, b) for a in range(len(lines)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return sum(k != g for k, g in enumerate(smallest(len(lines), links)))
+
+
+def test_lines_with_an_early_insertion_in_a_long_run(spark):
+    own, lines = np.random.default_rng(7), []
+
+    def letters(n):
+        return "".join(own.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+
+    for _ in range(60):
+        head, tail, run = " ".join(letters(6) for _ in range(6)), letters(52), letters(119)
+        lines += [f"{head} www.{tail}", f"{head} www2.{tail}", run, "#" + run]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert brute_lines_removed(lines) == 120
+    assert sum(r["n_removed"] for r in deduplicated_lines(table).collect()) == 120
+
+
 def test_bpe(docs):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = read_ranks(path)
