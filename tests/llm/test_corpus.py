@@ -135,6 +135,22 @@ def test_lines_with_an_early_insertion_in_a_long_run(spark):
     assert sum(r["n_removed"] for r in deduplicated_lines(table).collect()) == 120
 
 
+def test_lines_of_one_template_in_hot_bands(spark, monkeypatch):
+    own = np.random.default_rng(8)
+    words = ["".join(own.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(400)]
+    template, lines = " ".join(own.choice(words, 16)), []
+    for _ in range(400):
+        varying = list(own.choice(words, 5))
+        lines += [f"{template} {' '.join(varying)}", f"{template} {' '.join(varying[:4])} {own.choice(words)}"]
+    order = own.permutation(len(lines))
+    lines = [lines[k] for k in order]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    wanted = brute_lines_removed(lines)
+    assert wanted >= 300
+    monkeypatch.setattr("sumac.llm.lines.CHUNK", 100)
+    assert sum(r["n_removed"] for r in deduplicated_lines(table).collect()) == wanted
+
+
 def test_bpe(docs):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = read_ranks(path)
