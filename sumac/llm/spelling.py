@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sumac.session import freeze, scratch_path
 
 #: A trie node over at most this many words is a leaf; its words are compared with each other.
-LEAF = 8
+LEAF = 32
 #: The nodes of one level are broadcast up to this many (checked by counting); more are joined by a shuffle.
 BROADCAST_NODES = 100_000
 #: Levels walked before the frontier is written.
-LEVELS = 4
+LEVELS = 3
 #: Ends every word, so that no word is the beginning of another; it sorts before all letters.
 END = "\n"
 #: Longs with a bit for each of 256 hash values of what follows a node in its words.
@@ -70,10 +70,10 @@ def near_words(words: DataFrame) -> DataFrame:
     """
     spark = words.sparkSession
     words = freeze(words.select("word").filter("word is not null").distinct(), "words")
-    base = scratch_path(spark, "frontier")
+    base, ends = scratch_path(spark, "frontier"), scratch_path(spark, "leaves")
     held = own = words.select(F.concat("word", F.lit(END)).alias("s"))
-    states = spark.createDataFrame([], "s string, p int, node string, leaf boolean")
-    pending, depth, leaves = 0, 0, []
+    states = own.limit(0).select("s", F.lit(0).alias("p"), F.col("s").alias("node"), F.lit(False).alias("leaf"))
+    pending, depth = 0, 0
     while True:
         nodes = freeze(_nodes(own, depth), "nodes")
         size = nodes.count()
@@ -102,19 +102,16 @@ def near_words(words: DataFrame) -> DataFrame:
         placed = held.withColumn("child", F.substring("s", 1, depth + 1)).join(edges.select("child", "leaf"), "child")
         if not small:
             placed = freeze(placed, "placed")
-        leaves.append(placed.filter("leaf").select("child", "s"))
+        placed.filter("leaf").select("child", F.expr("left(s, char_length(s) - 1)").alias("s")).write.parquet(f"{ends}/level={depth}")
         own = placed.filter("not leaf").select("s")
         held, pending, depth = held if small else own, pending + 1, depth + 1
-    if not leaves:
+    if not depth:
         return spark.createDataFrame([], "a string, b string")
     _written(states, base, depth)
     reached = spark.read.parquet(base).filter("leaf").select("s", F.concat("node", _from("s", F.col("p"))).alias("t"))
     reached = reached.filter("s != t").select(*[F.expr(f"left({c}, char_length({c}) - 1)").alias(c) for c in ("s", "t")])
     reached = reached.join(words.withColumnRenamed("word", "t"), "t", "left_semi").select("s", "t")
-    parted = leaves[0]
-    for more in leaves[1:]:
-        parted = parted.unionByName(more)
-    parted = freeze(parted.select("child", F.expr("left(s, char_length(s) - 1)").alias("s")), "leaves")
+    parted = spark.read.parquet(ends).select("child", "s")
     within = parted.join(parted.withColumnRenamed("s", "t"), "child").filter("s < t").filter("levenshtein(s, t, 1) = 1").select("s", "t")
     pairs = reached.unionByName(within)
     return pairs.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
@@ -123,7 +120,7 @@ def near_words(words: DataFrame) -> DataFrame:
 def _written(states: DataFrame, base: str, depth: int) -> DataFrame:
     """Writes a frontier beside the earlier ones; those of its states that are not at a leaf go on."""
     path = f"{base}/level={depth}"
-    states.write.parquet(path)
+    states.write.parquet(path)  # every level has its own file set, so that a later one reads only what is new
     return states.sparkSession.read.schema(states.schema).parquet(path).filter("not leaf")
 
 

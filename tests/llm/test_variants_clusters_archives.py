@@ -49,11 +49,11 @@ WORDS = sorted(
 )
 
 
-@pytest.mark.parametrize("broadcast, leaf", [(100_000, 8), (5, 2)])
+@pytest.mark.parametrize("broadcast, leaf", [(100_000, 32), (5, 2)])
 def test_near_words(spark, monkeypatch, broadcast, leaf):
     monkeypatch.setattr(spelling, "BROADCAST_NODES", broadcast)
     monkeypatch.setattr(spelling, "LEAF", leaf)
-    words = WORDS if leaf == 8 else [w for w in WORDS if len(w) < 12]
+    words = WORDS if leaf == 32 else [w for w in WORDS if len(w) < 12]
     table = spark.createDataFrame([(w, 1) for w in [*words, "abcabcab", None]], "word string, s int").repartition(3)
     got = [tuple(r) for r in near_words(table).select("a", "b").collect()]
     assert len(got) == len(set(got)) and set(got) == brute_near(set(words))
