@@ -21,7 +21,7 @@ def _documents(found: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below one half stay."""
+    """Documents scored below one half stay; a null text is scored as an empty one, rows that repeat an id are judged each."""
     from sumac.llm.toxicity import fit, keep_clean
 
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -38,10 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of at least 0.8 of their five-word shingles, the one of the smallest doc_id stays."""
-    from sumac.llm.near import near_groups
+    """Of documents whose fingerprints of three-word shingles link at 3 or fewer bits, directly or over others, the one of the smallest doc_id stays."""
+    from sumac.llm.simhash import simhash_groups
 
-    groups = near_groups(docs, similarity=0.8, shingle=5)
+    groups = simhash_groups(docs, shingle=3, distance=3)
     return docs.join(groups.filter("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
 
 
@@ -54,7 +54,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in sequences of at most 2048 ids."""
+    """Where each piece of each document lies in sequences of at most 2048 ids; a null text has the end id alone, rows that repeat an id are packed each."""
     import public_tokenizers
 
     from sumac.llm.packing import packed_sequences
