@@ -151,27 +151,6 @@ def test_lines_of_one_template_in_hot_bands(spark, monkeypatch):
     assert sum(r["n_removed"] for r in deduplicated_lines(table).collect()) == wanted
 
 
-def test_pipeline_near_documents(spark):
-    import corpus_pipeline
-
-    own = np.random.default_rng(9)
-    texts = [None, "", " \t", "One two", "one  TWO"]
-    for k in range(40):
-        words = [f"w{x}" for x in own.integers(0, 5000, 200)]
-        changed = list(words)
-        for at in own.choice(200, 1 + k % 5, replace=False):
-            changed[at] = "other"
-        texts += [" ".join(words), "\n".join(changed)]
-    words = [(t or "").lower().split() for t in texts]
-    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
-    links = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    wanted = {k for k, g in enumerate(smallest(len(texts), links)) if k == g}
-    assert len(wanted) < 55
-    rows = [(k, t, "en", "s", len(t or "")) for k, t in enumerate(texts)]
-    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    assert {r["doc_id"] for r in corpus_pipeline.simhash(spark, table, "").collect()} == wanted
-
-
 def test_bpe(docs):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = read_ranks(path)
