@@ -1,7 +1,7 @@
 """Exact nearest neighbours and neighbour-based imputation.
 
 Copies of one location are collapsed before any pairing, and candidates come
-from equi-joins on grid cells, so the work follows the number of distinct
+from equi-joins on the leaves of a partition tree, so the work follows the number of distinct
 locations and not the square of the rows.
 """
 
@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sumac.operators.cells import CellTree
 from sumac.operators.ordering import global_rank, global_running
 from sumac.session import freeze
 
+#: Locations of a leaf of the partition tree.
+LEAF = 256
+
 
 def distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
     terms = [(x - y) * (x - y) for x, y in zip(a, b)]
@@ -35,10 +38,10 @@ def smallest_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Colu
 def knn(df: DataFrame, key: str, columns: Sequence[str], k: int) -> DataFrame:
     """(key, rank, neighbour, distance): k nearest rows, the row itself included.
 
-    For one to three coordinate columns. Each location searches at its own grid
-    level: the finest whose cell around it still holds k rows. That cell's
-    diagonal bounds the k-th distance, so the cells within the diagonal hold all
-    candidates, however uneven the density is. Ties go to the smaller key.
+    Copies of a location are one point of a partition tree (``cells.CellTree``) whose leaves hold few locations at any density. The k-th
+    distance within its own leaf bounds a point's search (where the leaf has fewer rows, the extent of the smallest
+    cell around it that has enough); candidates are the points of the leaves that this ball touches. A far point
+    changes its own leaf only. Ties go to the smaller key. Rows with a missing coordinate are left out.
     """
     axes = [f"_x{i}" for i in range(len(columns))]
     points = df.dropna(subset=list(columns)).select(key, *[F.col(c).cast("double").alias(a) for c, a in zip(columns, axes)])
@@ -46,53 +49,21 @@ def knn(df: DataFrame, key: str, columns: Sequence[str], k: int) -> DataFrame:
     owners = (
         smallest_per_group(points, axes, [key], k).groupBy(*axes).agg(F.sort_array(F.collect_list(key)).alias("_keys"))
     )
-    located = freeze(weights.join(owners, axes))
-    edge = located.agg(
-        F.count(F.lit(1)).alias("n"), *[f(a).alias(f"{a}{n}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
-    if not edge["n"]:
-        return df.select(
-            key, F.lit(1).alias("rank"), F.col(key).alias("neighbour"), F.lit(0.0).alias("distance")
-        ).limit(0)
-    span = max(edge[f"{a}hi"] - edge[f"{a}lo"] for a in axes) or 1.0
-    deepest = min(26, math.ceil(math.log2(edge["n"] + 1)) + 2)
-
-    cells = [f"_c{i}" for i in range(len(axes))]
-    scale = F.pow(F.lit(2.0), F.col("_level"))
-    at_levels = located.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in range(deepest + 1)]))).withColumns(
-        {c: F.floor((F.col(a) - F.lit(edge[f"{a}lo"])) / F.lit(span) * scale).cast("long") for c, a in zip(cells, axes)}
-    )
-    address = ["_level", *cells]
-    filled = at_levels.groupBy(*address).agg(F.sum("_w").alias("_rows")).filter((F.col("_rows") >= k) & (F.col("_level") > 0))
-    own_level = at_levels.join(filled, address, "left_semi").groupBy(*axes).agg(F.max("_level").alias("_own"))
-    asking = (
-        located.select(*axes)
-        .join(own_level, axes, "left")
-        .withColumn("_level", F.coalesce("_own", F.lit(0)))
-        .select(*[F.col(a).alias(f"_q{a}") for a in axes], "_level")
-    )
-    mine = [F.col(f"_q{a}") for a in axes]
-    reach = math.ceil(math.sqrt(len(axes)))
-    moves = ", ".join(f"array({', '.join(map(str, m))})" for m in product(range(-reach, reach + 1), repeat=len(axes)))
-    steps = F.expr(f"array({moves})")
-    asking = asking.withColumn("_step", F.explode(steps))
-    asking = asking.withColumns(
-        {
-            c: F.floor((m - F.lit(edge[f"{a}lo"])) / F.lit(span) * scale).cast("long") + F.col("_step")[i]
-            for i, (c, a, m) in enumerate(zip(cells, axes, mine))
-        }
-    ).drop("_step")
-    bound = F.lit(span * math.sqrt(len(axes)) * (1 + 1e-9)) / scale
-    gap = distance(mine, [F.col(a) for a in axes])
-    pairs = asking.join(at_levels.drop("_w"), address).withColumn("distance", gap)
-    # Level 0 is one cell with everything, so no bound applies there.
-    pairs = pairs.filter((F.col("distance") <= bound) | (F.col("_level") == 0))
-    pairs = pairs.withColumn("neighbour", F.explode("_keys"))
+    tree = CellTree(freeze(weights.join(owners, axes), "located"), axes, cap=max(LEAF, 4 * k))
     query = [f"_q{a}" for a in axes]
-    best = smallest_per_group(pairs, query, ["distance", "neighbour"], k).select(
-        *query, F.col("_place").alias("rank"), "neighbour", "distance"
-    )
-    same = [points[a] == best[f"_q{a}"] for a in axes]
+    asking = tree.points.select(*[F.col(a).alias(q) for a, q in zip(axes, query)], "_cell")
+    gap = distance([F.col(q) for q in query], [F.col(a) for a in axes])
+
+    def nearest(met: DataFrame) -> DataFrame:
+        pairs = met.join(tree.points.drop("_w"), "_cell").withColumn("distance", gap).withColumn("neighbour", F.explode("_keys"))
+        return smallest_per_group(pairs, query, ["distance", "neighbour"], k)
+
+    near = nearest(asking).groupBy(*query).agg(F.max("distance").alias("_own"), F.max("_place").alias("_found"))
+    enough = freeze(near.filter(F.col("_found") == k).select(*query, F.col("_own").alias("_reach")), "reach")
+    wide = tree.roomy(asking.join(enough, query, "left_anti"), query, k)
+    met = tree.touched(enough.unionByName(wide), query)
+    best = nearest(met).select(*query, F.col("_place").alias("rank"), "neighbour", "distance")
+    same = [points[a] == best[q] for a, q in zip(axes, query)]
     return points.join(best, same).select(key, "rank", "neighbour", "distance")
 
 

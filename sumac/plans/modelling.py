@@ -7,7 +7,7 @@ regression uses the part table.
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from sumac.operators import clustering, density, evaluate, explain, models, outliers, search, splits
+from sumac.operators import boosting, clustering, density, evaluate, explain, models, outliers, search, splits
 from sumac.plans.distances import EPS, MIN_SAMPLES, points
 from sumac.plans.registry import query, table
 from sumac.plans.tables import rounded
@@ -118,14 +118,63 @@ def gbt_regressor(spark, folder):
     return Pipeline(stages=steps).fit(train).transform(test).select("p_partkey", "label", "prediction")
 
 
+def _demand(spark, folder):
+    """All parts with a demand that falls with the price, and their split."""
+    parts = table(spark, folder, "part").select(
+        "p_partkey", "p_type", F.col("p_size").cast("double").alias("size"), F.substring("p_brand", 7, 2).cast("double").alias("brand"),
+        F.col("p_retailprice").cast("double").alias("price"),
+    )
+    # Demand stands in for the target: large parts sell less when dear.
+    parts = parts.withColumn("label", 2000.0 - F.col("price") + F.col("size"))
+    return parts, splits.stratified_split(parts, "p_partkey", "p_type", 0.3)
+
+
+def _monotone_model(train):
+    return boosting.HistogramBoosting(trees=100, depth=3, rate=0.1, monotone={"price": -1}).fit(train, ["price", "size", "brand"], "label")
+
+
 @query("monotone_regressor")
 def monotone_regressor(spark, folder):
-    train, test = _regression(spark, folder)
-    base = Pipeline(stages=[*models.feature_stages(["p_size"], ["p_type"]), models.gbt_regressor(trees=5, depth=3, labelCol="label")])
-    # Demand stands in for the target: large parts sell less when dear.
-    shaped = [df.withColumnRenamed("label", "price").withColumn("label", 2000.0 - F.col("price") + F.col("p_size")) for df in (train, test)]
-    model = models.MonotoneRegressor(base, "price", "label").fit(shaped[0])
-    return model.transform(shaped[1]).select("p_partkey", "price", "label", "prediction")
+    train, test = _parts_of(freeze(_demand(spark, folder)[1]))
+    return _monotone_model(train).transform(test).select("p_partkey", "price", "label", "prediction")
+
+
+@query(
+    "monotone_facts",
+    "SELECT p_partkey, 100 AS trees, true AS never_rises, true AS closer_than_mean FROM part",
+)
+def monotone_facts(spark, folder):
+    """The number of trees, whether a dearer copy of each part is never predicted higher, and whether the model beats the mean on the held-out parts."""
+    parts, split = _demand(spark, folder)
+    train, test = _parts_of(freeze(split))
+    model = _monotone_model(train)
+    mean = train.agg(F.avg("label")).first()[0]
+    held = model.transform(test).agg(F.avg(F.abs(F.col("prediction") - F.col("label"))), F.avg(F.abs(F.col("label") - mean))).first()
+    out = model.transform(parts)
+    out = out.withColumns({"_price": F.col("price"), "_rises": F.lit(False)})
+    for more in (0.01, 1.0, 50.0, 1000.0):
+        out = model.transform(out.withColumn("price", F.col("_price") + more), "_dearer")
+        out = out.withColumn("_rises", F.col("_rises") | (F.col("_dearer") > F.col("prediction") + 1e-9))
+    return out.select("p_partkey", F.lit(len(model.trees)).alias("trees"), (~F.col("_rises")).alias("never_rises"), F.lit(held[0] < held[1]).alias("closer_than_mean"))
+
+
+@query(
+    "boosted_split",
+    """WITH b AS (SELECT avg(p_retailprice::DOUBLE) AS base FROM part),
+    v AS (SELECT p_size AS t, sum(base - p_retailprice::DOUBLE) AS g, count(*) AS n FROM part, b GROUP BY p_size),
+    c AS (SELECT t, sum(g) OVER w AS gl, sum(n) OVER w AS nl, sum(g) OVER () AS gt, sum(n) OVER () AS nt FROM v WINDOW w AS (ORDER BY t)),
+    s AS (SELECT t, -gl / (nl + 1) AS l, -(gt - gl) / (nt - nl + 1) AS r, gl * gl / (nl + 1) + (gt - gl) * (gt - gl) / (nt - nl + 1) AS gain
+      FROM c WHERE nl < nt ORDER BY gain DESC, t LIMIT 1)
+    SELECT t::DOUBLE AS threshold, round(base + l / 2, 6) AS below, round(base + r / 2, 6) AS above FROM s, b""",
+)
+def boosted_split(spark, folder):
+    """The one split of a single tree of depth one on the size of parts, with half the step."""
+    parts = table(spark, folder, "part").select(F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").cast("double").alias("label"))
+    model = boosting.HistogramBoosting(trees=1, depth=1, rate=0.5).fit(parts, ["size"], "label")
+    threshold = model.trees[0].threshold[0]
+    at = parts.agg(F.lit(threshold).alias("size"))
+    sides = model.transform(model.transform(at, "below").withColumn("size", F.lit(threshold + 1)), "above")
+    return rounded(sides.select(F.lit(threshold).alias("threshold"), "below", "above"), "below", "above")
 
 
 def _trial_classifier(trial):
