@@ -8,6 +8,7 @@ prediction column.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
@@ -28,14 +29,33 @@ def as_scorer(rule: Rule, features: Sequence[str], name: str = "prediction") ->
     return lambda df: df.withColumn(name, rule({f: F.col(f) for f in features}))
 
 
+def shuffled_place(place: str, n: str, width: str, height: str, key: str, over: str = "div") -> str:
+    """SQL text of a keyed bijection of [0, n), as whole-number arithmetic that other engines compute alike.
+
+    A place is split into (left, right) of a rectangle ``width`` x ``height`` that holds n places; rounds add to one side a keyed function of the other,
+    which any key can undo. A result beyond n goes round again until it is below; as fewer than ``height`` places lie beyond, few do, and small rectangles
+    return within as many rounds as they have places.
+    """
+    left, right = f"(v {over} {height})", f"(v % {height})"
+    for j in range(0, 6, 2):
+        left = f"(({left} + ({right} * 1103515245 + ({key} + {j} * 15485863) % 2147483647) % 2147483629) % {width})"
+        right = f"(({right} + ({left} * 1103515245 + ({key} + {j + 1} * 15485863) % 2147483647) % 2147483629) % {height})"
+    moved = f"({left} * {height} + {right})"
+    if over == "div":
+        # Nearly all places are done after one round, which stays in generated code.
+        once = re.sub(r"\bv\b", f"({place})", moved)
+        again = f"aggregate(sequence(1, 64), {place}, (v, i) -> if(i > 1 and v < {n}, v, {moved}))"
+        return f"if({once} < {n}, {once}, {again})"
+    return f"list_reduce(range(1, 65), lambda v, i: CASE WHEN i > 1 AND v < {n} THEN v ELSE {moved} END, {place})"
+
+
 def permutations(
     df: DataFrame, key: str, features: Sequence[str], repeats: int, seed: int = 42, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Row x repeat x feature table with that one feature taken from another row.
 
-    Rows get a seeded random order once; repeat r shifts it by a seeded step, so
-    a permuted table is an equi-join on unique ranks: no sort per repeat, no
-    skew. All features of a repeat share the join and are unfolded after it.
+    Rows get a seeded random order once; every repeat and feature has a permutation of its own, a keyed bijection of the
+    ranks. A permuted table is an equi-join on unique ranks: no sort per repeat, no skew.
     Repeat 0 (feature NULL) is the unchanged table.
     """
     ranked = freeze(
@@ -44,13 +64,16 @@ def permutations(
         ).drop("_token")
     )
     n = ranked.count()
+    width = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    height = max(1, -(-n // width))
     donors = ranked.select((F.col("_rank") - 1).alias("_donor"), F.struct(*features).alias("_other"))
-    step = (F.col("rep") * F.lit(7919) + F.lit(seed)) % F.lit(max(n - 1, 1)) + 1
+    place = shuffled_place("_rank - 1", str(n), f"{width}L", f"{height}L", f"({seed} * 1000003L + rep * 7919L + _f * 104729L)")
     moved = (
         ranked.withColumn("rep", F.explode(F.array(*[F.lit(r) for r in range(1, repeats + 1)])))
-        .withColumn("_donor", (F.col("_rank") - 1 + step) % F.lit(max(n, 1)))
+        .withColumn("_f", F.explode(F.array(*[F.lit(k) for k in range(len(features))])))
+        .withColumn("feature", F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_f") + 1))
+        .withColumn("_donor", F.expr(place))
         .join(donors, "_donor")
-        .withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
     )
     swapped = [F.when(F.col("feature") == f, F.col(f"_other.{f}")).otherwise(F.col(f)).alias(f) for f in features]
     plain = ranked.select(F.lit(0).alias("rep"), F.lit(None).cast("string").alias("feature"), key, *keep, *features)

@@ -43,15 +43,20 @@ def _smooth(x):
 
 _SMOOTH_SQL = "(0.1::DOUBLE + {paid} * 0.5::DOUBLE + {joined} * {late} * 0.25::DOUBLE)"
 
-_PERMUTED_SQL = f"""{_FACTS_SQL}, ranked AS (SELECT *, row_number() OVER (ORDER BY md5(event_id || '-{SEED}'), event_id) - 1 AS rank,
+_PLACE_SQL = ops.shuffled_place("a.rank", "a.n", "a.width", "a.height", f"({SEED} * 1000003 + r.rep::BIGINT * 7919 + f.f * 104729)", "//")
+
+_PERMUTED_SQL = f"""{_FACTS_SQL}, numbered AS (SELECT *, row_number() OVER (ORDER BY md5(event_id || '-{SEED}'), event_id) - 1 AS rank,
   count(*) OVER () AS n FROM facts),
-permuted AS (SELECT r.rep, f.feature, a.event_id, a.label,
-  CASE WHEN f.feature = 'paid' THEN b.paid ELSE a.paid END AS paid,
-  CASE WHEN f.feature = 'joined' THEN b.joined ELSE a.joined END AS joined,
-  CASE WHEN f.feature = 'late' THEN b.late ELSE a.late END AS late
-  FROM ranked AS a CROSS JOIN (SELECT CAST(unnest(range(1, {{reps}} + 1)) AS INTEGER) AS rep) AS r
-  JOIN ranked AS b ON b.rank = (a.rank + (r.rep * 7919 + {SEED}) % (a.n - 1) + 1) % a.n
-  CROSS JOIN (SELECT unnest(['paid', 'joined', 'late']) AS feature) AS f)"""
+shaped AS (SELECT *, ceil(sqrt(n))::BIGINT AS width FROM numbered),
+ranked AS MATERIALIZED (SELECT *, (n + width - 1) // width AS height FROM shaped),
+dealt AS MATERIALIZED (SELECT a.*, r.rep, f.feature, {_PLACE_SQL} AS donor FROM ranked AS a
+  CROSS JOIN (SELECT CAST(unnest(range(1, {{reps}} + 1)) AS INTEGER) AS rep) AS r
+  CROSS JOIN (SELECT unnest(['paid', 'joined', 'late']) AS feature, unnest([0, 1, 2]) AS f) AS f),
+permuted AS (SELECT a.rep, a.feature, a.event_id, a.label,
+  CASE WHEN a.feature = 'paid' THEN b.paid ELSE a.paid END AS paid,
+  CASE WHEN a.feature = 'joined' THEN b.joined ELSE a.joined END AS joined,
+  CASE WHEN a.feature = 'late' THEN b.late ELSE a.late END AS late
+  FROM dealt AS a JOIN ranked AS b ON b.rank = a.donor)"""
 
 
 @query(

@@ -98,3 +98,18 @@ def test_sample_is_fixed_by_its_seed(spark):
     a = [r["id"] for r in seeded_sample(df, "id", 10, 1).collect()]
     assert a == [r["id"] for r in seeded_sample(df.orderBy(F.rand()), "id", 10, 1).collect()]
     assert len(a) == 10 and seeded_sample(df, "id", 1000, 1).count() == 60
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 50, 7920])
+def test_permutations_are_bijections_of_their_own(spark, n):
+    table = spark.range(n).select(F.col("id").alias("k"), F.col("id").alias("a"), (-F.col("id")).alias("b"))
+    found = explain.permutations(table, "k", ["a", "b"], 3).filter("rep > 0").collect()
+    orders = {}
+    for r in found:
+        orders.setdefault((r["rep"], r["feature"]), {})[r["k"]] = r["a"] if r["feature"] == "a" else -r["b"]
+    assert len(orders) == 6 and all(sorted(o.values()) == list(range(n)) and sorted(o) == list(range(n)) for o in orders.values())
+    if n >= 50:
+        rows = [tuple(o[k] for k in range(n)) for o in orders.values()]
+        assert len(set(rows)) == 6
+        assert len({tuple((x - y) % n for x, y in zip(rows[0], r)) for r in rows[1:]}) == 5
+        assert all(sum(x == y for x, y in enumerate(r)) < n / 5 for r in rows)
