@@ -281,8 +281,9 @@ def test_top_inner_products(vectors, monkeypatch):
 
 def test_cosine_groups(vectors, monkeypatch):
     x, df = vectors
-    monkeypatch.setattr("sumac.llm.rangejoin.PER_PIVOT", 20)
-    monkeypatch.setattr("sumac.llm.rangejoin.BLOCK", 16)
+    monkeypatch.setattr("sumac.llm.rangejoin.ROOT_SHARE", 2)
+    for name, size in (("BLOCK", 7), ("GUEST_CELLS", 50), ("CHUNK", 5)):
+        monkeypatch.setattr(f"sumac.llm.rangejoin.{name}", size)
     y = x.astype(float)
     y /= np.sqrt((y * y).sum(axis=1))[:, None]
     linked = y @ y.T >= 0.95
