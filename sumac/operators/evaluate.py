@@ -87,12 +87,17 @@ def classification_report(df: DataFrame, truth: str, predicted: str) -> DataFram
     return classes.drop("hit").unionByName(averages)
 
 
-def confusion_matrix(df: DataFrame, truth: str, predicted: str, labels: Sequence[object] | None = None) -> DataFrame:
-    """Rows are true labels, columns predicted ones, zeros shown."""
+def confusion_matrix(df: DataFrame, truth: str, predicted: str, labels: Sequence[object] | None = None, most: int = 1000) -> DataFrame:
+    """Rows are true labels, columns predicted ones, zeros shown; rows without a true label count nowhere.
+
+    Every label is a column, so more than ``most`` of them raise; the counts by (truth, predicted) serve such tables.
+    """
     counts = df.groupBy(truth, predicted).agg(F.count(F.lit(1)).alias("n"))
     if labels is None:
         seen = counts.select(F.explode(F.array(truth, predicted)).alias("v")).filter("v is not null").distinct()
-        labels = sorted(r["v"] for r in seen.collect())
+        labels = sorted(r["v"] for r in seen.limit(most + 1).collect())
+        if len(labels) > most:
+            raise ValueError(f"more than {most} labels")
     wide = counts.groupBy(truth).agg(
         *[F.coalesce(F.sum(F.when(F.col(predicted) == F.lit(v), F.col("n"))), F.lit(0)).alias(f"pred_{v}") for v in labels]
     )

@@ -236,10 +236,10 @@ def union_all(spark, folder):
 
 @query(
     "distinct_rows",
-    f"WITH {REPEATED_EVENTS_SQL} SELECT DISTINCT event_id, user_id, event_type, value, props FROM repeated",
+    f"WITH {REPEATED_EVENTS_SQL} SELECT event_id, user_id, event_type, value, props FROM (SELECT DISTINCT * FROM repeated)",
 )
 def distinct_rows(spark, folder):
-    return repeated_events(spark, folder).drop("ts").dropDuplicates()
+    return repeated_events(spark, folder).dropDuplicates().drop("ts")
 
 
 # --- positions and running values --------------------------------------------

@@ -28,6 +28,8 @@ def test_confusion_matrix_shows_unpredicted_labels(spark):
     df = spark.createDataFrame([("a", "b"), ("b", "b"), ("c", "a")], "t string, p string")
     rows = {r["t"]: tuple(r)[1:] for r in evaluate.confusion_matrix(df, "t", "p").collect()}
     assert rows == {"a": (0, 1, 0), "b": (0, 1, 0), "c": (1, 0, 0)}
+    with pytest.raises(ValueError):
+        evaluate.confusion_matrix(df, "t", "p", most=2)
 
 
 def test_multiclass_brier(spark):
