@@ -6,16 +6,21 @@ import math
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from sumac.operators.density import silhouette
+from sumac.operators.density import components, silhouette
+from sumac.operators.ordering import global_rank
 from sumac.session import freeze
 
 SEED = 42
+#: Groups on each side of one comparison.
+WARD_BLOCK = 2048
 
 
 def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,57 +66,86 @@ def gmm_information_criteria(df: DataFrame, columns: Sequence[str], ks: Sequence
     )
 
 
-def ward_merge(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Ward labels of a few weighted centres (at most ``micro`` rows, see below)."""
-    m = len(centres)
-    gap = ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
-    cost = gap * (weights[:, None] * weights[None, :] / (weights[:, None] + weights[None, :]))
-    np.fill_diagonal(cost, np.inf)
-    labels, weights = np.arange(m), weights.astype(float).copy()
-    for _ in range(m - k):
-        i, j = sorted(divmod(int(cost.argmin()), m))
-        wi, wj = weights[i], weights[j]
-        both = cost[i, j]
-        alive = np.isfinite(cost[i]) | np.isfinite(cost[j])
-        with np.errstate(invalid="ignore"):
-            merged = ((wi + weights) * cost[i] + (wj + weights) * cost[j] - weights * both) / (wi + wj + weights)
-        merged[~alive] = np.inf
-        merged[[i, j]] = np.inf
-        cost[i], cost[:, i] = merged, merged
-        cost[j], cost[:, j] = np.inf, np.inf
-        weights[i] = wi + wj
-        labels[labels == j] = i
-    return np.unique(labels, return_inverse=True)[1]
-
-
-def ward_two_stage(df: DataFrame, columns: Sequence[str], k: int, micro: int = 1000, seed: int = SEED) -> DataFrame:
-    """Ward clusters: Spark groups the rows into at most ``micro`` weighted centres, which are merged.
-
-    Equals the exact method while there are no more than ``micro`` distinct rows.
-    The centres are bounded by ``micro`` and are all that reaches the driver.
+def _nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    """The cheapest partner in ``b`` of every group in ``a``; of equal ones the smaller id."""
+    b = b.sort_values("id")
+    left, right = a["id"].to_numpy(), b["id"].to_numpy()
+    x, y = (np.array(side["c"].tolist(), float).reshape(len(side), -1) for side in (a, b))
+    v, w = a["w"].to_numpy(), b["w"].to_numpy()
+    partner, cost = np.empty(len(a), np.int64), np.empty(len(a))
+    for at in range(0, len(a), 256):
+        part = slice(at, at + 256)
+        # Differences, coordinate by coordinate: both sides of a pair get the same number.
+        gap = np.zeros((len(left[part]), len(b)))
+        for k in range(x.shape[1]):
+            gap += (x[part, k, None] - y[:, k]) ** 2
+        gap *= v[part, None] * w / (v[part, None] + w)
+        gap[left[part, None] == right] = np.inf
+        best = gap.argmin(axis=1)
+        partner[part], cost[part] = right[best], gap[np.arange(len(best)), best]
+    out = pd.DataFrame({"id": left, "partner": partner, "cost": cost})
+    return out[np.isfinite(cost)]
+
+
+def _ward_round(groups: DataFrame, n: int) -> DataFrame:
+    """Merges every two groups that are each other's cheapest partner: (id, w, c, lo, hi, cost), the last three null where nothing merged."""
+    blocks = math.ceil(n / WARD_BLOCK)
+    tagged = groups.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    left = tagged.select("*", F.col("block").alias("i"), others.alias("j"))
+    right = tagged.select("*", others.alias("i"), F.col("block").alias("j"))
+    best = (
+        left.groupBy("i", "j")
+        .cogroup(right.groupBy("i", "j"))
+        .applyInPandas(lambda a, b: _nearest(a, b), "id long, partner long, cost double")
+        .groupBy("id")
+        .agg(F.min(F.struct("cost", "partner")).alias("best"))
+    )
+    lo, hi = F.least("id", "best.partner"), F.greatest("id", "best.partner")
+    # A pair is named by at most two groups, its own, and by both only if they agree.
+    pairs = groups.join(best, "id").groupBy(lo.alias("lo"), hi.alias("hi")).agg(
+        F.count(F.lit(1)).alias("named"), F.min("id").alias("id"), F.first("best.cost").alias("cost"), F.sum("w").alias("w"),
+        F.array_sort(F.collect_list(F.struct("id", "w", "c"))).alias("both"),
+    )
+    met = F.col("named") == 2
+    p, q = F.element_at("both", 1), F.element_at("both", -1)
+    middle = F.zip_with(p["c"], q["c"], lambda x, y: (x * p["w"] + y * q["w"]) / (p["w"] + q["w"]))
+    return pairs.select(
+        "id", "w", F.when(met, middle).otherwise(p["c"]).alias("c"), *[F.when(met, F.col(x)).alias(x) for x in ("lo", "hi", "cost")]
+    )
+
+
+def ward(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """The rows with their ``cluster`` (0, 1, ..) of exactly ``k`` Ward clusters, fewer if there are fewer distinct rows.
+
+    Ward's costs never fall as groups grow, so all pairs of groups that are each other's cheapest
+    partner can merge in one round, and the tree is that of merging one pair at a time. The
+    merges form a tree over the distinct rows; its k - 1 dearest are left out. Every round compares
+    all groups in blocks of bounded size: memory is bounded, time grows with the square of the
+    distinct rows. Equal rows are one weighted group; rows with a missing value are left out; ties go
+    to the smaller position in the order of the columns. Values must be finite.
     """
     rows = df.dropna(subset=list(columns))
-    distinct = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w"))
-    few = distinct.limit(micro + 1).collect()
-    spark = df.sparkSession
-    if len(few) <= micro:
-        few.sort(key=lambda r: tuple(r[c] for c in columns))
-        centres = np.array([[float(r[c]) for c in columns] for r in few])
-        labels = ward_merge(centres, np.array([r["_w"] for r in few]), k)
-        schema = df.select(*columns).schema.add("cluster", T.IntegerType())
-        names = spark.createDataFrame([(*[r[c] for c in columns], int(g)) for r, g in zip(few, labels)], schema)
-        return rows.join(F.broadcast(names), list(columns))
-    vectors = _vectors(rows, columns)
-    # Many small groups only need to tile the data, so random seeds and few rounds do.
-    tiles = KMeans(k=micro, seed=seed, initMode="random", maxIter=10, featuresCol="_v", predictionCol="_micro")
-    model = tiles.fit(vectors)
-    grouped = freeze(model.transform(vectors).drop("_v"))
-    sizes = {r["_micro"]: r["count"] for r in grouped.groupBy("_micro").count().collect()}
-    used = sorted(sizes)
-    centres = np.array(model.clusterCenters())[used]
-    labels = ward_merge(centres, np.array([sizes[i] for i in used]), k)
-    names = spark.createDataFrame([(int(i), int(g)) for i, g in zip(used, labels)], "_micro int, cluster int")
-    return grouped.join(F.broadcast(names), "_micro").drop("_micro")
+    weighted = rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    points = freeze(global_rank(weighted, list(columns), "id"), "points")
+    groups = points.select("id", "w", F.array(*[F.col(c).cast("double") for c in columns]).alias("c"))
+    n, merges = points.count(), []
+    while n > 1:
+        done = freeze(_ward_round(groups, n), "merged")
+        left = done.count()
+        if left == n:
+            raise ValueError("Ward clustering needs finite values")
+        merges.append(done.filter("lo is not null").select(F.col("lo").alias("a"), F.col("hi").alias("b"), "cost", F.lit(len(merges)).alias("round")))
+        groups, n = done.select("id", "w", "c"), left
+    if not merges:
+        return rows.withColumn("cluster", F.lit(0))
+    tree = freeze(reduce(DataFrame.unionByName, merges), "tree")
+    dear = tree.orderBy(F.desc("cost"), F.desc("round"), F.desc("a"), F.desc("b")).limit(k - 1)
+    found = freeze(components(points.select("id"), tree.join(dear, ["a", "b", "round"], "left_anti")), "named")
+    roots = sorted(r["root"] for r in found.select("root").distinct().collect())  # at most k
+    names = F.broadcast(df.sparkSession.createDataFrame(list(zip(roots, range(len(roots)))), "root long, cluster int"))
+    named = points.join(found.join(names, "root"), "id").select(*columns, "cluster")
+    return rows.join(named, list(columns))
 
 
 def clustering_comparison(

@@ -7,8 +7,8 @@ regression uses the part table.
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from sumac.operators import boosting, clustering, density, evaluate, explain, models, outliers, search, splits
-from sumac.plans.distances import EPS, MIN_SAMPLES, points
+from sumac.operators import boosting, clustering, density, evaluate, explain, models, outliers, projection, search, splits
+from sumac.plans.distances import EPS, MIN_SAMPLES, WIDTH, coordinates, points
 from sumac.plans.registry import query, table
 from sumac.plans.tables import rounded
 from sumac.functions.scalars import linear_map
@@ -66,15 +66,12 @@ def model_save_load(spark, folder):
 
 @query("linear_svc_ovr")
 def linear_svc_ovr(spark, folder):
-    embeddings = table(spark, folder, "embeddings")
-    names = [f"e{i}" for i in range(8)]
-    wide = embeddings.select(
-        "vec_id", F.col("label").cast("double").alias("label"), *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
-    )
-    data = models.weighted(wide, "label").persist()
-    model = Pipeline(stages=[*models.feature_stages(names), models.linear_svc_ovr(rounds=5)]).fit(data)
-    report = evaluate.classification_report(model.transform(data).select("label", "prediction"), "label", "prediction")
-    return rounded(report, "precision", "recall", "f1")
+    names, wide = coordinates(spark, folder)
+    train, test = _parts_of(freeze(splits.stratified_split(wide, "vec_id", "label", 0.3)))
+    train = models.weighted(train.withColumn("label", F.col("label").cast("double")), "label").persist()
+    model = Pipeline(stages=[*models.feature_stages(names), models.linear_svc_ovr(rounds=100)]).fit(train)
+    scored = model.transform(test.withColumn("label", F.col("label").cast("double"))).select("label", "prediction")
+    return rounded(evaluate.classification_report(scored, "label", "prediction"), "precision", "recall", "f1")
 
 
 @query("tree_comparison")
@@ -285,22 +282,29 @@ def shapley_sampled(spark, folder):
 
 @query("kmeans")
 def kmeans(spark, folder):
-    return clustering.kmeans(points(spark, folder), ["x", "y"], 3)
+    names, wide = coordinates(spark, folder)
+    return clustering.kmeans(wide, names, 3).select("vec_id", "label", "cluster")
+
+
+def _components(spark, folder):
+    """Two principal components of all coordinates; a full covariance of them all would have 2,080 numbers a group."""
+    names, wide = coordinates(spark, folder)
+    return freeze(projection.pca_project(wide, names, 2).select("vec_id", "label", "pc1", "pc2"))
 
 
 @query("gmm")
 def gmm(spark, folder):
-    return clustering.gaussian_mixture(points(spark, folder), ["x", "y"], 3)
+    return clustering.gaussian_mixture(_components(spark, folder), ["pc1", "pc2"], 3)
 
 
 @query("gmm_information_criteria")
 def gmm_information_criteria(spark, folder):
-    return clustering.gmm_information_criteria(points(spark, folder), ["x", "y"], range(3, 9))
+    return clustering.gmm_information_criteria(_components(spark, folder), ["pc1", "pc2"], range(3, 9))
 
 
 @query("ward_two_stage")
 def ward_two_stage(spark, folder):
-    return clustering.ward_two_stage(points(spark, folder), ["x", "y"], 3)
+    return clustering.ward(_components(spark, folder), ["pc1", "pc2"], 3)
 
 
 @query("clustering_comparison")
@@ -316,7 +320,6 @@ def clustering_comparison(spark, folder):
         {
             "kmeans": lambda df: clustering.kmeans(df, pair, 3),
             "mixture": lambda df: clustering.gaussian_mixture(df, pair, 3),
-            "ward": lambda df: clustering.ward_two_stage(df, pair, 3),
             "dbscan": lambda df: density.dbscan(df, "vec_id", pair, EPS, MIN_SAMPLES),
         },
     )
@@ -324,16 +327,17 @@ def clustering_comparison(spark, folder):
 
 @query(
     "cluster_profile",
-    """SELECT label, count(*) AS n, round_even(avg(CAST(embedding[1] AS DOUBLE)) * 100, 0) / 100 AS x_mean,
-    round_even(stddev_samp(CAST(embedding[1] AS DOUBLE)) * 100, 0) / 100 AS x_std,
-    round_even(avg(CAST(embedding[2] AS DOUBLE)) * 100, 0) / 100 AS y_mean,
-    round_even(stddev_samp(CAST(embedding[2] AS DOUBLE)) * 100, 0) / 100 AS y_std FROM embeddings GROUP BY label""",
+    "SELECT label, count(*) AS n, "
+    + ", ".join(
+        f"round_even({f}(CAST(embedding[{i + 1}] AS DOUBLE)) * 100, 0) / 100 AS e{i}_{name}"
+        for i in range(WIDTH)
+        for f, name in (("avg", "mean"), ("stddev_samp", "std"))
+    )
+    + " FROM embeddings GROUP BY label",
 )
 def cluster_profile(spark, folder):
-    labelled = table(spark, folder, "embeddings").select(
-        "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y")
-    )
-    return clustering.cluster_profile(labelled, "label", ["x", "y"])
+    names, wide = coordinates(spark, folder)
+    return clustering.cluster_profile(wide, "label", names)
 
 
 @query("isolation_forest")

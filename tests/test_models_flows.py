@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from sumac.operators import clustering, models, outliers, search
-from sumac.operators.clustering import mixture_criteria, ward_merge
+from sumac.operators.clustering import mixture_criteria
 from sumac.operators.projection import fit_pca, pca_project
 from sumac.plans import flows
 from sumac.plans.catalogue import QUERIES
@@ -31,19 +31,25 @@ def naive_ward(xy, k):
     return {frozenset(g) for g in groups}
 
 
-def test_ward_equals_exact_method():
+@pytest.mark.parametrize("block", [7, 2048])
+def test_ward_equals_exact_method(spark, monkeypatch, block):
+    monkeypatch.setattr(clustering, "WARD_BLOCK", block)
     xy = np.random.default_rng(4).normal(size=(40, 2))
-    labels = ward_merge(xy, np.ones(40), 4)
-    assert {frozenset(np.flatnonzero(labels == g).tolist()) for g in set(labels)} == naive_ward(xy, 4)
+    rows = [(i, float(x), float(y), "s") for i, (x, y) in enumerate(xy)]
+    df = spark.createDataFrame([*rows, (40, None, 1.0, "s")], "id long, x double, y double, c string")
+    for k in (1, 4):
+        out = {r["id"]: r["cluster"] for r in clustering.ward(df, ["x", "y"], k).collect()}
+        assert {frozenset(i for i in out if out[i] == g) for g in set(out.values())} == naive_ward(xy, k)
+        assert set(out.values()) == set(range(k))
 
 
-def test_ward_two_stage_beyond_the_exact_limit(spark):
-    rng = np.random.default_rng(4)
-    xy = np.vstack([rng.normal(c, 0.1, (60, 2)) for c in (0, 5, 10)])
-    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "id long, x double, y double")
-    out = {r["id"]: r["cluster"] for r in clustering.ward_two_stage(df, ["x", "y"], 3, micro=20).collect()}
-    assert len(out) == 180
-    assert all(len({out[i] for i in range(s, s + 60)}) == 1 for s in (0, 60, 120)) and len(set(out.values())) == 3
+def test_ward_of_ties_repeats_and_nothing(spark):
+    df = spark.createDataFrame([(i, float(i // 3)) for i in range(12)], "id long, x double")
+    out = {r["id"]: r["cluster"] for r in clustering.ward(df, ["x"], 2).collect()}
+    assert [out[i] for i in range(12)] == [0] * 6 + [1] * 6
+    assert {r["cluster"] for r in clustering.ward(df, ["x"], 9).collect()} == {0, 1, 2, 3}
+    assert clustering.ward(df.limit(0), ["x"], 2).count() == 0
+    assert {r["cluster"] for r in clustering.ward(df.filter("id < 3"), ["x"], 2).collect()} == {0}
 
 
 def test_mixture_criteria_formulas():
@@ -164,6 +170,17 @@ def test_csv_missing_values(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1.5, "a"), (None, None), (None, "b")]
 
 
+def test_csv_files_with_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3,4\n")
+    (tmp_path / "b c.csv").write_text("b,more,a\n20,x,10\n")
+    (tmp_path / "d.csv").write_text("a,b\n5,6\n")
+    rows = files.read_csv(spark, str(tmp_path), "a long, b long").collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 2), (3, 4), (5, 6), (10, 20)]
+    (tmp_path / "e.csv").write_text("a\n5\n")
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(tmp_path), "a long, b long")
+
+
 def test_json_records_multiline(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"x": 1.5, "extra": 2},\n {"s": "a"}]')
     rows = files.read_json(spark, str(tmp_path / "a.json"), "x double, s string", multiline=True).collect()
