@@ -225,8 +225,8 @@ def fit(
     """Learns from at most ``per_class`` labelled texts of each class, of at most ``longest`` bytes each.
 
     The sample is the least by a hash of the id among labelled documents for which ``train`` (an
-    expression over doc_id) holds. Of an id labelled twice the larger label counts; null
-    labels, ids and texts are left out.
+    expression over doc_id) holds. Of an id labelled twice the larger label counts, of one with
+    several texts the least; null labels, ids and texts are left out.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("bad"))
@@ -239,7 +239,8 @@ def fit(
     usable = known.join(sizes.select("doc_id"), "doc_id", "left_semi")
     picked = [usable.filter(F.col("bad") == bad).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for bad in (True, False)]
     # At most 2 * per_class rows of two columns.
-    rows = sizes.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("doc_id", "text", "bad").collect()
+    chosen = sizes.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+    rows = chosen.groupBy("doc_id", "bad").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     shared: dict[str, str] = {}  # one object per distinct word
     lists = [([shared.setdefault(w, w) for w in tokens(r["text"])], r["bad"]) for r in rows]
