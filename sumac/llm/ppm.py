@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sumac.llm.texts import as_batch, id_and_text, map_texts, slices
+from sumac.llm.texts import as_batch, id_and_text, slices
 from sumac.session import freeze
 
 #: Bytes that no UTF-8 text holds: the context before a text, and its end.
 BEFORE, END = 0xFE, 0xFF
 SYMBOLS = 256
-#: Grams of the longest order that a broadcast trie may hold; with more, the trie is of a lower order.
-MOST_GRAMS = 1 << 22
+#: Grams of the longest order that every task holds; the others are looked up in the whole table by a join.
+COMMON_GRAMS = 1 << 22
+#: Context bytes that name a group of the gram table: a group holds at most 2 ** 24 grams of six bytes.
+NEAR = 3
 #: Words whose counts every task holds; others are looked up by a join.
 COMMON_WORDS = 1 << 18
 #: Entries after which a task sends its partial counts on, and bytes scored at once.
@@ -58,9 +60,12 @@ class Trie:
     total and q its number of distinct bytes; q / (T + q) is left for an escape to
     the next shorter context, where all bytes of the longer one are excluded: their counts leave
     the total, and the distinct bytes still new there estimate the next escape.
+
+    With ``low``, grams are those of some groups of contexts only, and ``low`` holds the (grams, counts) of
+    order NEAR - 1 over the whole table, from which that order and the shorter ones are taken.
     """
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int):
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, low: tuple[np.ndarray, np.ndarray] | None = None):
         self.order = order
         self.grams, self.counts, self.contexts = [None] * (order + 1), [None] * (order + 1), [None] * (order + 1)
         self.total, self.kinds = [None] * (order + 1), [None] * (order + 1)
@@ -68,9 +73,11 @@ class Trie:
         by = np.argsort(grams)
         grams, counts = grams[by].astype(np.uint64), counts[by].astype(np.float64)
         for k in range(order, -1, -1):
-            if k < order:
-                low, back = np.unique(_low(self.grams[k + 1], k + 1), return_inverse=True)
-                grams, counts = low, np.bincount(back, self.counts[k + 1], len(low))
+            if k < order and low is not None and k == NEAR - 1:
+                grams, counts = low
+            elif k < order:
+                grams, back = np.unique(_low(self.grams[k + 1], k + 1), return_inverse=True)
+                counts = np.bincount(back, self.counts[k + 1], len(grams))
             self.grams[k], self.counts[k] = grams, counts
             starts = np.flatnonzero(np.concatenate(([True], np.diff(grams >> np.uint64(8)) != 0))) if len(grams) else np.empty(0, np.int64)
             self.contexts[k] = grams[starts] >> np.uint64(8)
@@ -211,17 +218,89 @@ def _gram_counts(texts: DataFrame, order: int) -> DataFrame:
     return sent.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def fit_trie(texts: DataFrame, order: int = 5, most: int = MOST_GRAMS) -> Trie:
-    """The trie over all bytes of a (doc_id, text as bytes) frame; its size is checked before it goes anywhere."""
-    if not 0 <= order <= 6:
-        raise ValueError("order must be 0 to 6")
-    grams = freeze(_gram_counts(texts, order), "grams")
-    while order > 1 and grams.count() > most:
-        mask = (1 << (8 * order)) - 1
-        grams = freeze(grams.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")), "grams")
-        order -= 1
-    found = grams.toArrow()
-    return Trie(found.column("gram").to_numpy().astype(np.uint64), found.column("n").to_numpy(), order)
+def _order_up_to(grams: DataFrame, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """All grams of an order of at most NEAR - 1, hence at most 2 ** 24 of them, and their counts, in order."""
+    mask = (1 << (8 * (order + 1))) - 1
+    found = grams.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")).orderBy("gram").toArrow()
+    return found.column("gram").to_numpy().astype(np.uint64), found.column("n").to_numpy().astype(np.float64)
+
+
+class Known:
+    """Log10 probabilities of the most frequent grams."""
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        by = np.argsort(grams)
+        self.grams, self.logs = grams[by], logs[by]
+
+    def split(self, text: bytes, order: int):
+        """Per piece of a text: (log10 probability of its listed grams, other grams, how often they occur)."""
+        whole = bytes([BEFORE]) * order + text + bytes([END])
+        for at in range(0, len(text) + 1, PIECE):
+            part = np.frombuffer(whole[at : at + PIECE + order], np.uint8).astype(np.uint64)
+            keys = np.zeros(len(part) - order, np.uint64)
+            for k in range(order + 1):
+                keys = (keys << np.uint64(8)) | part[k : k + len(keys)]
+            keys, times = np.unique(keys, return_counts=True)
+            place = _find(self.grams, keys)
+            listed = place >= 0
+            yield float(self.logs[place[listed]] @ times[listed]), keys[~listed], times[~listed]
+
+
+def _frequent(grams: DataFrame, most: int) -> Known:
+    """The logs of all grams that occur at least 2 ** k times, for the least k that leaves at most ``most`` of them."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = {r["k"]: r["m"] for r in grams.groupBy(power.alias("k")).agg(F.count(F.lit(1)).alias("m")).collect()}
+    least, held = 64, 0
+    while least > 0 and held + sizes.get(least - 1, 0) <= most:
+        least -= 1
+        held += sizes.get(least, 0)
+    context = F.shiftrightunsigned("gram", 8)
+    rooms = grams.groupBy(context.alias("context")).agg((F.sum("n") + F.count(F.lit(1))).alias("room"))
+    frequent = grams.filter(power >= least).withColumn("context", context)
+    found = frequent.join(rooms, "context").select("gram", (F.log10("n") - F.log10("room")).alias("log")).toArrow()
+    return Known(found.column("gram").to_numpy().astype(np.uint64), found.column("log").to_numpy())
+
+
+def _looked_up(grams: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
+    """(gram, log): the log10 probability of each gram of ``wanted`` under the whole gram table.
+
+    Both tables meet in groups of equal last NEAR context bytes. A group holds all that contexts of
+    NEAR and more bytes can tell, and shorter contexts are in every task: at most 2 ** 24 grams.
+    """
+    low = grams.sparkSession.sparkContext.broadcast(_order_up_to(grams, NEAR - 1))
+    group = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << (8 * NEAR)) - 1))
+    both = grams.select("gram", "n").unionByName(wanted.select("gram", F.lit(None).cast("long").alias("n")))
+    both = both.withColumn("part", group).repartition("part").sortWithinPartitions("part")
+
+    def solve(tables: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(tables)
+        keys = table.column("gram").to_numpy().astype(np.uint64)
+        asked = table.column("n").is_null().to_numpy()
+        if not asked.any():
+            return
+        trie = Trie(keys[~asked], table.column("n").drop_null().to_numpy(), order, low.value)
+        logs = trie.log10(keys[asked])
+        for at in range(0, len(logs), PARTIAL):
+            yield as_batch({"gram": pa.array(keys[asked][at : at + PARTIAL].astype(np.int64)), "log": pa.array(logs[at : at + PARTIAL])})
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # A group is complete when the next one starts; whole groups are solved together.
+            parts = batch.column("part").to_numpy()
+            last = int(np.searchsorted(parts, parts[-1]))
+            full = size + last > PARTIAL and (last > 0 or int(held[-1].column("part")[-1].as_py()) != int(parts[-1]))
+            if full:
+                yield from solve([*held, batch.slice(0, last)])
+                held, size, batch = [], 0, batch.slice(last)
+            held.append(batch)
+            size += batch.num_rows
+        if held:
+            yield from solve(held)
+
+    return both.mapInArrow(run, "gram long, log double")
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -249,8 +328,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     ``train`` (an expression over doc_id) names the documents to learn from. ``score`` is the
     log10 probability of the text's bytes and its end under the trie. ``base_score`` sums
     log10((c + 1) / (N + V + 1)) over the lower-cased words and one end, with counts from the training texts.
-    Counts of the most frequent words are in every task; other words go through a join, so
-    the vocabulary may grow without bound.
+    Counts of the most frequent words and probabilities of the most frequent grams are in every task; other
+    words and grams go through joins, so both tables may grow with the input: the model is the same at every size.
 
     Null texts are empty; rows without an id are left out; repeated rows are scored, and
     learnt, each; other columns are ignored. Without training texts every symbol is equally likely.
@@ -258,7 +337,17 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col)
     learnt = texts.filter(train)
-    trie = spark.sparkContext.broadcast(fit_trie(learnt, order))
+    if not 0 <= order <= 6:
+        raise ValueError("order must be 0 to 6")
+    grams = freeze(_gram_counts(learnt, order), "grams")
+    # Few grams: the whole model is in every task. Otherwise only what is frequent is; the scores are the same.
+    held = order < NEAR or grams.count() <= COMMON_GRAMS
+    if held:
+        found = grams.toArrow()
+        model = Trie(found.column("gram").to_numpy().astype(np.uint64), found.column("n").to_numpy(), order)
+    else:
+        model = _frequent(grams, COMMON_GRAMS)
+    model = spark.sparkContext.broadcast(model)
     words = freeze(_word_counts(learnt), "words")
     n_docs = learnt.count()
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -287,27 +376,77 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                 out["rare"].append([] if whole else [{"word": w, "times": counted[w]} for w in counted.keys() - listed])
             rows = np.arange(done, done + len(values)) + task
             done += len(values)
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
-            return {
+            whole_rows = {
                 "row": pa.array(rows, pa.int64()),
                 "doc_id": batch.column("doc_id"),
                 "n_tokens": pa.array(out["n_tokens"], pa.int64()),
                 "known": pa.array(out["known"], pa.int64()),
                 "base": pa.array(out["base"], pa.float64()),
-                "score": pa.array(trie.value.texts(values), pa.float64()),
-                "rare": pa.array(out["rare"], kind),
+                "rare": pa.array(out["rare"], kinds["rare"]),
             }
+            if held:
+                scores = pa.array(model.value.texts(values), pa.float64())
+                yield as_batch({**whole_rows, "score": scores, "grams": pa.nulls(len(values), kinds["grams"])})
+                return
+            yield as_batch({**whole_rows, "score": pa.array(np.zeros(len(values))), "grams": pa.nulls(len(values), kinds["grams"])})
+            # Beside them, a row for each piece of a text, with the grams that no task holds.
+            pieces, size = [], 0
+            for row, value in zip(rows, values):
+                for piece in model.value.split(value, order):
+                    pieces.append((row, *piece))
+                    size += len(piece[1])
+                    if size > PARTIAL:
+                        yield piece_rows(pieces)
+                        pieces, size = [], 0
+            if pieces:
+                yield piece_rows(pieces)
 
         return work
 
-    shape = "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<struct<word: binary, times: bigint>>"
-    scored = freeze(map_texts(texts, shape, make), "scored")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
+    kinds = {
+        "rare": pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])),
+        "grams": pa.list_(pa.struct([("gram", pa.int64()), ("times", pa.int64())])),
+    }
+
+    def piece_rows(pieces):
+        rows, scores, keys, times = zip(*pieces)
+        pairs = [pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(times))]
+        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+        empty = pa.nulls(len(rows), pa.int64())
+        return as_batch(
+            {
+                **{"row": pa.array(rows, pa.int64()), "doc_id": empty, "n_tokens": empty, "known": empty},
+                "base": pa.nulls(len(rows), pa.float64()),
+                "rare": pa.nulls(len(rows), kinds["rare"]),
+                "score": pa.array(scores),
+                "grams": pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(pairs, ["gram", "times"])),
+            }
+        )
+
+    def run(batches):
+        work = make()
+        for batch in slices(batches):
+            yield from work(batch)
+
+    shape = (
+        "row long, doc_id long, n_tokens long, known long, base double, rare array<struct<word: binary, times: bigint>>, "
+        "score double, grams array<struct<gram: bigint, times: bigint>>"
+    )
+    sent = freeze(texts.mapInArrow(run, shape), "scored")
+    rare = sent.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     looked = (
         rare.join(words, "word")
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("also"))
     )
+    scored = sent.drop("rare", "grams")
+    if not held:
+        asked = sent.select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.times")
+        logs = _looked_up(grams, asked.select("gram").distinct(), order)
+        found = asked.join(logs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("score"))
+        scored = scored.unionByName(found, allowMissingColumns=True).groupBy("row").agg(
+            *[F.max(c).alias(c) for c in ("doc_id", "n_tokens", "known", "base")], F.sum("score").alias("score")
+        )
     return scored.join(looked, "row", "left").select(
         "doc_id",
         "n_tokens",

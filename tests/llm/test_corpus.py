@@ -252,6 +252,53 @@ def test_ppm(docs):
     assert all(r["score"] <= 0 for r in by_id(ppm_score(docs, F.lit(False))).values())
 
 
+def plain_ppm(learnt, texts, order):
+    """PPM with exclusion, symbol by symbol over dictionaries of contexts."""
+    follows = {}
+    for t in learnt:
+        whole = b"\xfe" * order + t + b"\xff"
+        for at in range(order, len(whole)):
+            for k in range(order + 1):
+                follows.setdefault(whole[at - k : at], Counter())[whole[at]] += 1
+
+    def log(context, symbol):
+        out, seen = 0.0, set()
+        for k in range(order, -1, -1):
+            counts = {s: n for s, n in follows.get(context[len(context) - k :], {}).items() if s not in seen}
+            if not counts:
+                continue
+            room = sum(counts.values()) + len(counts)
+            if symbol in counts:
+                return out + np.log10(counts[symbol] / room)
+            out += np.log10(len(counts) / room)
+            seen |= counts.keys()
+        return out - np.log10(256 - len(seen))
+
+    wholes = [b"\xfe" * order + t + b"\xff" for t in texts]
+    return [sum(log(w[at - order : at], w[at]) for at in range(order, len(w))) for w in wholes]
+
+
+@pytest.mark.parametrize("order, piece", [(5, 1 << 20), (3, 1000)])
+def test_ppm_beyond_the_held_grams(docs, monkeypatch, order, piece):
+    """The scores of the whole order, with all grams held or a tenth of them, and in pieces of long texts."""
+    train = F.col("doc_id") % 3 != 0
+    texts = [text(k).encode() for k in range(len(TEXTS))]
+    learnt = [t for k, t in enumerate(texts) if k % 3]
+    want = plain_ppm(learnt, texts, order)
+    grams = len({bytes(w) for t in learnt for w in zip(*[(b"\xfe" * order + t + b"\xff")[k:] for k in range(order + 1)])})
+    whole = by_id(ppm_score(docs, train, order=order))
+    monkeypatch.setattr("sumac.llm.ppm.COMMON_GRAMS", grams // 10)
+    monkeypatch.setattr("sumac.llm.ppm.PIECE", piece)
+    monkeypatch.setattr("sumac.llm.ppm.PARTIAL", 100)
+    few = by_id(ppm_score(docs, train, order=order))
+    for k, score in enumerate(want):
+        assert whole[k]["score"] == pytest.approx(score, rel=1e-5)
+        assert few[k]["score"] == pytest.approx(score, rel=1e-5)
+        assert {c: v for c, v in few[k].asDict().items() if c != "score"} == {c: v for c, v in whole[k].asDict().items() if c != "score"}
+    empty = docs.filter("doc_id < 0")
+    assert ppm_score(empty, train, order=order).count() == 0
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     x = RNG.normal(size=(300, 6)).astype("float32")
