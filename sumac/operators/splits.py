@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sumac.functions.scalars import elapsed_micros, seeded_hash
 from sumac.operators.ordering import global_rank
 from sumac.operators.quantiles import order_statistics
+from sumac.session import freeze
+
+#: Rows of one class that may be ordered in one task to find its cut.
+CUT_ROWS = 1000
 
 
 def _ranked(df: DataFrame, key: str, label: str, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -35,13 +39,54 @@ def _quotas(classes: DataFrame, test_fraction: float) -> DataFrame:
     return placed.withColumn("_quota", F.col("_quota") + (F.col("_place") <= left).cast("long")).drop("_place", "_rest")
 
 
+def rank_cuts(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_class, _cut): the (token, key) at position ``_want`` (from 1) of each class.
+
+    ``tokens`` has (_class, _token, _key) with evenly spread hexadecimal tokens, ``wanted`` (_class, _want, _n).
+    All classes narrow together: a round counts the next two digits of the tokens that share a class's
+    prefix and extends it by the digits in which the position falls. Rows are only counted until
+    at most CUT_ROWS of a class are left, which are then ordered.
+    """
+    state = freeze(wanted.select("_class", F.lit("").alias("_prefix"), F.col("_want").cast("long"), F.col("_n").cast("long")), "cuts")
+
+    def inside(part: DataFrame) -> DataFrame:
+        rows = tokens.select(F.col("_class").alias("_c"), "_token", "_key")
+        return rows.join(part, F.col("_c").eqNullSafe(F.col("_class")) & F.col("_token").startswith(F.col("_prefix"))).drop("_c")
+
+    for digits in range(0, 30, 2):
+        crowded = state.filter(F.col("_n") > CUT_ROWS)
+        if crowded.isEmpty():
+            break
+        bins = inside(crowded).groupBy("_class", "_prefix", "_want", F.substring("_token", digits + 1, 2).alias("_bin")).agg(F.count(F.lit(1)).alias("_in"))
+        # At most 256 rows a class.
+        upto = F.sum("_in").over(Window.partitionBy("_class").orderBy("_bin")).alias("_upto")
+        hit = bins.select("*", upto).filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_in") < F.col("_want")))
+        narrower = hit.select(
+            "_class", F.concat("_prefix", "_bin").alias("_prefix"), (F.col("_want") - F.col("_upto") + F.col("_in")).alias("_want"), F.col("_in").alias("_n")
+        )
+        state = freeze(state.filter(F.col("_n") <= CUT_ROWS).unionByName(narrower), "cuts")
+    place = F.row_number().over(Window.partitionBy("_class").orderBy("_token", "_key"))
+    return inside(state).withColumn("_place", place).filter("_place = _want").select("_class", F.struct("_token", "_key").alias("_cut"))
+
+
 def stratified_split(
     df: DataFrame, key: str, label: str, test_fraction: float, seed: int = 42, name: str = "split"
 ) -> DataFrame:
-    """Adds ``train``/``test``; class shares are kept exactly. ``key`` must be unique."""
-    ranked, classes = _ranked(df, key, label, seed)
-    placed = ranked.join(_quotas(classes, test_fraction), F.col(label).eqNullSafe(F.col("_class")))
-    in_train = F.col("_rank") - F.col("_start") < F.col("_quota")
+    """Adds ``train``/``test``; class shares are kept exactly. ``key`` must be unique and not null.
+
+    The training rows of a class are those up to a cut in the order of seeded tokens, so the rows are neither
+    sorted nor written: scans of (class, token) count them, one join brings the cuts.
+    """
+    token = seeded_hash(F.col(key), seed)
+    tokens = df.select(F.col(label).alias("_class"), token.alias("_token"), F.col(key).alias("_key"))
+    classes = tokens.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
+    quotas = freeze(_quotas(freeze(classes, "classes"), test_fraction), "quotas")
+    divided = quotas.filter("_quota > 0 and _quota < _n").withColumn("_want", F.col("_quota"))
+    cuts = rank_cuts(tokens, divided).withColumnRenamed("_class", "_cut_class")
+    cuts = quotas.join(cuts, F.col("_class").eqNullSafe(F.col("_cut_class")), "left").drop("_cut_class")
+    below = F.struct(token.alias("_token"), F.col(key).alias("_key")) <= F.col("_cut")
+    in_train = (F.col("_quota") > 0) & ((F.col("_quota") >= F.col("_n")) | F.coalesce(below, F.lit(False)))
+    placed = df.join(cuts, F.col(label).eqNullSafe(F.col("_class")))
     return placed.withColumn(name, F.when(in_train, "train").otherwise("test")).select(*df.columns, name)
 
 

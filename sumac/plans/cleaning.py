@@ -4,6 +4,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from sumac.operators import clean, splits
+from sumac.operators.categories import CategoryTable
 from sumac.operators.profile import moment_distance as distance_table
 from sumac.operators.projection import pca_project as project
 from sumac.plans.profiling import NUMBERS
@@ -149,6 +150,24 @@ def one_hot(spark, folder):
     return clean.OneHot(["event_type"]).fit(events).transform(events)
 
 
+@query(
+    "wide_categories",
+    """WITH p AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey),
+    r AS (SELECT l_partkey, CASE WHEN n >= 0.0005 * (SELECT count(*) FROM lineitem)
+      THEN row_number() OVER (PARTITION BY n >= 0.0005 * (SELECT count(*) FROM lineitem) ORDER BY l_partkey) - 1
+      ELSE count_if(n >= 0.0005 * (SELECT count(*) FROM lineitem)) OVER () END AS slot FROM p)
+    SELECT l_orderkey, l_linenumber, dense_rank() OVER (ORDER BY l_orderkey) - 1 AS l_orderkey_code,
+      dense_rank() OVER (ORDER BY l_shipdate) - 1 AS l_shipdate_code, CAST(slot AS BIGINT) AS l_partkey_code
+    FROM lineitem JOIN r USING (l_partkey)""",
+)
+def wide_categories(spark, folder):
+    """Codes of columns with as many values as there are orders, days and parts; rare parts share one."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey")
+    coded = CategoryTable.fit(lines, ["l_orderkey", "l_shipdate"]).encode(lines)
+    coded = CategoryTable.fit(lines, ["l_partkey"], min_frequency=0.0005).encode(coded)
+    return coded.select("l_orderkey", "l_linenumber", "l_orderkey_code", "l_shipdate_code", "l_partkey_code")
+
+
 @query("one_hot_binary", """SELECT event_id, CAST(purchase = 'yes' AS INTEGER) AS purchase_yes
     FROM (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'yes' ELSE 'no' END AS purchase FROM events)""")
 def one_hot_binary(spark, folder):

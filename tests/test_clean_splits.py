@@ -7,6 +7,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from sumac.operators import clean, splits
+from sumac.operators.categories import CategoryTable
+from sumac.session import scratch_path
 
 
 def column(df, name="x"):
@@ -141,3 +143,49 @@ def test_chronological_split_orders_text_keys_of_one_date(spark):
         ("train", 42000, "k000000", "k041999"),
         ("valid", 12060, "k042000", "k054059"),
     ]
+
+
+@pytest.mark.parametrize("most", [3, 1000])
+def test_cuts_narrow_to_the_seeded_order(spark, monkeypatch, most):
+    monkeypatch.setattr(splits, "CUT_ROWS", most)
+    classes = [None] * 700 + ["a"] * 40 + ["b"] * 2 + ["c"]
+    df = spark.createDataFrame([(i, y, "own") for i, y in enumerate(classes)], "id long, y string, n string")
+    out = splits.stratified_split(df, "id", "y", 0.25)
+    ranked = {r["id"]: r["rank"] for r in splits.split_rank(df, "id", "y").collect()}
+    rows = out.collect()
+    assert out.columns == ["id", "y", "n", "split"] and sorted(r["id"] for r in rows) == list(range(len(classes)))
+    for y in set(classes):
+        train = sorted(ranked[r["id"]] for r in rows if r["y"] == y and r["split"] == "train")
+        assert train == list(range(1, len(train) + 1))
+    assert sum(r["split"] == "train" for r in rows) == len(classes) - math.ceil(0.25 * len(classes))
+    assert splits.stratified_split(df.limit(0), "id", "y", 0.25).count() == 0
+
+
+def test_category_table(spark):
+    rows = [(1, 10, "x"), (2, 9, "y"), (3, None, "x"), (4, 9, None), (5, 100, "x"), (6, 9, "z")]
+    df = spark.createDataFrame(rows, "id long, number int, word string")
+    found = CategoryTable.fit(df, ["number", "word"], min_frequency=0.3)
+    # Numbers 10 and 100 and words y and z are rare and share the code behind the frequent ones.
+    assert found.sizes() == {"number": 2, "word": 2}
+    path = scratch_path(spark, "categories")
+    found.save(path)
+    found = CategoryTable.load(spark, path, ["number", "word"])
+    other = df.unionByName(spark.createDataFrame([(7, 11, "w")], df.schema))
+    out = {r["id"]: r for r in found.vectors(other).collect()}
+    assert [(out[i]["number_code"], out[i]["word_code"]) for i in range(1, 8)] == [(1, 0), (0, 1), (2, 0), (0, 2), (1, 0), (0, 1), (2, 2)]
+    assert [list(map(int, out[i]["indicators"].indices)) if hasattr(out[i]["indicators"], "indices") else out[i]["indicators"].toArray().tolist() for i in (7,)] == [[]]
+    assert out[1]["indicators"].toArray().tolist() == [0, 1, 1, 0] and out[4]["indicators"].toArray().tolist() == [1, 0, 0, 0]
+    every = CategoryTable.fit(df, ["number"]).table.orderBy("code").collect()
+    assert [(r["value"], r["n"], r["code"], r["size"]) for r in every] == [("9", 3, 0, 3), ("10", 1, 1, 3), ("100", 1, 2, 3)]
+    nothing = CategoryTable.fit(df.limit(0), ["word"])
+    assert nothing.sizes() == {"word": 0} and {r["word_code"] for r in nothing.encode(df).collect()} == {0}
+
+
+def test_hundred_thousand_categories(spark):
+    df = spark.range(100_000).select("id", F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("v"))
+    found = CategoryTable.fit(df, ["v"])
+    assert found.encode(df).filter(F.col("v_code") != F.col("id")).isEmpty()
+    assert [(v.size, list(v.indices)) for (v,) in found.vectors(df.filter("id IN (0, 99999)")).orderBy("id").select("indicators").collect()] == [
+        (100_000, [0]),
+        (100_000, [99_999]),
+    ]
