@@ -185,3 +185,31 @@ def test_json_records_multiline(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"x": 1.5, "extra": 2},\n {"s": "a"}]')
     rows = files.read_json(spark, str(tmp_path / "a.json"), "x double, s string", multiline=True).collect()
     assert [tuple(r) for r in rows] == [(1.5, None), (None, "a")]
+
+
+def test_a_repeated_date_replaces_its_models(spark):
+    rows = [(i, float(i % 7), "ab"[i % 2], float(i % 7 > 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, c string, label double")
+    few = {"tree": models.decision_tree(3), "regression": models.logistic_regression(20)}
+    dated = flows.DatedModels(scratch_path(spark, "dated"), "label", ["x"], ["c"], few)
+    dated.run(df.filter("id < 150"), "id", "2024-01-05")
+    dated.run(df, "id", "2024-02-05")
+
+    def known():
+        return sorted(tuple(r) for r in dated.runs(spark).drop("path").collect())
+
+    before = known()
+    assert [(r[0], r[1], r[2], r[6]) for r in before] == [
+        ("regression", 120, 30, "2024-01-05"), ("regression", 160, 40, "2024-02-05"),
+        ("tree", 120, 30, "2024-01-05"), ("tree", 160, 40, "2024-02-05"),
+    ]
+    first = {r["path"] for r in dated.runs(spark).collect()}
+    dated.run(df, "id", "2024-02-05")
+    assert known() == before
+    assert len(first & {r["path"] for r in dated.runs(spark).collect()}) == 2
+    assert {r["ds"]: r["n"] for r in dated.runs(spark).filter("best").groupBy("ds").agg(F.count("*").alias("n")).collect()} == {"2024-01-05": 1, "2024-02-05": 1}
+    out = dated.candidate(spark, "2024-02-05", "tree").transform(df)
+    assert out.filter("prediction != label").isEmpty()
+    assert dated.candidate(spark, "2024-01-05").transform(df).count() == 200
+    with pytest.raises(LookupError):
+        dated.candidate(spark, "2024-03-05")
