@@ -82,12 +82,12 @@ class CellTree:
         return found.groupBy(*at).agg(F.max_by("_reach", "_depth").alias("_reach"))
 
     def touched(self, balls: DataFrame, at: Sequence[str]) -> DataFrame:
-        """(``at``, _cell): the leaves whose boxes the balls (centre ``at``, radius ``_reach``) touch, by descent from the root, one join per level."""
+        """(``at``, _reach, _cell): the leaves whose boxes the balls (centre ``at``, radius ``_reach``) touch, by descent from the root, one join per level."""
         out, front = None, balls.select(*at, "_reach", F.lit("").alias("_parent"))
         for depth, level in enumerate(self.levels):
             children = _small(level).withColumn("_parent", F.expr(f"left(_cell, {max(0, depth - 1)})"))
             met = front.join(children, "_parent").filter(self._nearest([F.col(c) for c in at]) <= F.col("_reach") * (1 + 1e-12))
-            found = met.filter("_leaf").select(*at, "_cell")
+            found = met.filter("_leaf").select(*at, "_reach", "_cell")
             out = found if out is None else out.unionByName(found)
             front = met.filter("not _leaf").select(*at, "_reach", F.col("_cell").alias("_parent"))
         return out
