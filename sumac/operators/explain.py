@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sumac.functions.scalars import base_name, seeded_hash
 from sumac.operators.evaluate import binary_metrics
@@ -21,6 +23,9 @@ from sumac.operators.quantiles import exact_quantiles
 from sumac.operators.selection import seeded_sample
 from sumac.session import freeze
 
+#: Donors of one range, places and values of one block, and partitions they are spread over.
+SOURCE_ROWS, BLOCK_ROWS, BLOCK_VALUES, MOST_PARTS = 1 << 18, 1 << 16, 1 << 23, 1000
+
 Rule = Callable[[Mapping[str, Column]], Column]
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -49,13 +54,47 @@ def shuffled_place(place: str, n: str, width: str, height: str, key: str, over:
     return f"list_reduce(range(1, 65), lambda v, i: CASE WHEN i > 1 AND v < {n} THEN v ELSE {moved} END, {place})"
 
 
+def _moved(v: np.ndarray, n: int, width: int, height: int, key: int) -> np.ndarray:
+    """``shuffled_place`` of whole arrays."""
+
+    def once(v: np.ndarray) -> np.ndarray:
+        left, right = v // height, v % height
+        for j in range(0, 6, 2):
+            left = (left + (right * 1103515245 + (key + j * 15485863) % 2147483647) % 2147483629) % width
+            right = (right + (left * 1103515245 + (key + (j + 1) * 15485863) % 2147483647) % 2147483629) % height
+        return left * height + right
+
+    return _until_below(v, n, once)
+
+
+def _moved_back(v: np.ndarray, n: int, width: int, height: int, key: int) -> np.ndarray:
+    """The places that ``_moved`` takes to ``v``."""
+
+    def once(v: np.ndarray) -> np.ndarray:
+        left, right = v // height, v % height
+        for j in range(4, -2, -2):
+            right = (right - (left * 1103515245 + (key + (j + 1) * 15485863) % 2147483647) % 2147483629) % height
+            left = (left - (right * 1103515245 + (key + j * 15485863) % 2147483647) % 2147483629) % width
+        return left * height + right
+
+    return _until_below(v, n, once)
+
+
+def _until_below(v: np.ndarray, n: int, once: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    v = once(v)
+    while (beyond := np.flatnonzero(v >= n)).size:
+        v[beyond] = once(v[beyond])
+    return v
+
+
 def permutations(
     df: DataFrame, key: str, features: Sequence[str], repeats: int, seed: int = 42, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Row x repeat x feature table with that one feature taken from another row.
 
     Rows get a seeded random order once; every repeat and feature has a permutation of its own, a keyed bijection of the
-    ranks. A permuted table is an equi-join on unique ranks: no sort per repeat, no skew.
+    ranks. Values travel packed: a range of donors sends each block of places its values in the order of these places, and
+    the receiver finds from the permutation alone which value is whose. No row is shuffled more than once, whatever the repeats.
     Repeat 0 (feature NULL) is the unchanged table.
     """
     ranked = freeze(
@@ -63,21 +102,68 @@ def permutations(
             df.select(key, *keep, *features).withColumn("_token", seeded_hash(F.col(key), seed)), ["_token", key], "_rank"
         ).drop("_token")
     )
-    n = ranked.count()
+    n, cores = ranked.count(), df.sparkSession.sparkContext.defaultParallelism
     width = max(1, math.isqrt(max(n - 1, 0)) + 1)
     height = max(1, -(-n // width))
-    donors = ranked.select((F.col("_rank") - 1).alias("_donor"), F.struct(*features).alias("_other"))
-    place = shuffled_place("_rank - 1", str(n), f"{width}L", f"{height}L", f"({seed} * 1000003L + rep * 7919L + _f * 104729L)")
-    moved = (
-        ranked.withColumn("rep", F.explode(F.array(*[F.lit(r) for r in range(1, repeats + 1)])))
-        .withColumn("_f", F.explode(F.array(*[F.lit(k) for k in range(len(features))])))
-        .withColumn("feature", F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_f") + 1))
-        .withColumn("_donor", F.expr(place))
-        .join(donors, "_donor")
+    drawn = [(r, k, seed * 1000003 + r * 7919 + k * 104729) for r in range(1, repeats + 1) for k in range(len(features))]
+    fair = max(4096, -(-n // (2 * cores)))
+    source, block = min(SOURCE_ROWS, fair), min(fair, BLOCK_ROWS, max(1, BLOCK_VALUES // max(1, len(drawn))))
+    fields = {f.name: f for f in ranked.schema.fields}
+    kinds = [fields[f].dataType.simpleString() for f in features]
+    lists, own = [f"_v{k}" for k in range(len(features))], [key, *keep, *features]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per permutation and block of places: the values that go there, in the order of the places."""
+        rows = pa.Table.from_batches(list(batches)).sort_by("_rank").combine_chunks()
+        donors = rows.column("_rank").to_numpy() - 1
+        values = [rows.column(f"_x{k}").combine_chunks() for k in range(len(features))]
+        for rep, k, draw in drawn:
+            places = _moved_back(donors, n, width, height, draw)
+            order = np.argsort(places, kind="stable")
+            to, starts = np.unique(places[order] // block, return_index=True)
+            sent = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)), pa.int32()), values[k].take(pa.array(order)))
+            m = len(to)
+            where = [pa.array(to), pa.array(np.full(m, donors[0] // source)), pa.array(np.full(m, rep, "<i4")), pa.array(np.full(m, k, "<i4"))]
+            others = [sent if j == k else pa.nulls(m, pa.list_(v.type)) for j, v in enumerate(values)]
+            yield pa.RecordBatch.from_arrays([*where, *others], names=["_to", "_from", "rep", "_f", *lists])
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of one block of places, once per permutation with one feature from the donors."""
+        rows, sent = [], {}
+        for batch in batches:
+            whose = batch.column("_from").to_numpy(zero_copy_only=False)
+            rows.append(batch.filter(pa.array(whose < 0)))
+            rep, k = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "_f"))
+            for i in np.flatnonzero(whose >= 0):
+                sent.setdefault((rep[i], k[i]), {})[whose[i]] = batch.column(lists[k[i]])[int(i)].values
+        table = pa.Table.from_batches(rows)
+        table = pa.Table.from_struct_array(table.column("_own")).sort_by("_rank").combine_chunks()
+        places = table.column("_rank").to_numpy() - 1
+        mine = [table.column(f"_x{j}").combine_chunks() for j in range(len(own))]
+        for rep, k, draw in drawn:
+            order = np.argsort(_moved(places, n, width, height, draw) // source, kind="stable")
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
+            parts = sent.pop((rep, k))
+            value = pa.concat_arrays([parts[i] for i in sorted(parts)]).take(pa.array(back))
+            columns = [value if j == 1 + len(keep) + k else v for j, v in enumerate(mine)]
+            named = [pa.array(np.full(len(order), rep, "<i4")), pa.array([features[k]] * len(order), pa.string())]
+            yield pa.RecordBatch.from_arrays([*named, *columns], names=["rep", "feature", *own])
+
+    units, blocks = -(-n // source), -(-n // block)
+    place = F.col("_rank") - 1
+    giving = ranked.select(F.floor(place / source).alias("_from"), "_rank", *[F.col(f).alias(f"_x{k}") for k, f in enumerate(features)])
+    message = "_to long, _from long, rep int, _f int, " + ", ".join(f"{v} array<{kind}>" for v, kind in zip(lists, kinds))
+    sent = giving.repartition(max(1, min(units, MOST_PARTS)), "_from").groupBy("_from").applyInArrow(send, message)
+    getting = ranked.select(
+        F.floor(place / block).alias("_to"), F.lit(-1).cast("long").alias("_from"), F.lit(0).alias("rep"), F.lit(0).alias("_f"),
+        F.struct("_rank", *[F.col(c).alias(f"_x{j}") for j, c in enumerate(own)]).alias("_own"),
     )
-    swapped = [F.when(F.col("feature") == f, F.col(f"_other.{f}")).otherwise(F.col(f)).alias(f) for f in features]
+    met = getting.unionByName(sent, allowMissingColumns=True).repartition(max(1, min(blocks, MOST_PARTS)), "_to")
+    shape = T.StructType([T.StructField("rep", T.IntegerType()), T.StructField("feature", T.StringType()), *[fields[c] for c in own]])
+    moved = met.groupBy("_to").applyInArrow(receive, shape)
     plain = ranked.select(F.lit(0).alias("rep"), F.lit(None).cast("string").alias("feature"), key, *keep, *features)
-    return moved.select("rep", "feature", key, *keep, *swapped).unionByName(plain)
+    return moved.unionByName(plain)
 
 
 def permutation_importance(
