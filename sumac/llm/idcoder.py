@@ -8,8 +8,11 @@ import numpy as np
 
 #: Ids of one block, the coder's total (a power of two), and the table sizes of one block.
 BLOCK, TOTAL_BITS = 4096, 22
-TABLE2, TABLE1, RECENT = 2048, 1024, 256
+TABLE2, TABLE1, RECENT_BITS = 2048, 1024, 8
+RECENT = 1 << RECENT_BITS
 TOTAL, LOW32 = 1 << TOTAL_BITS, np.uint64(32)
+#: Unused places behind each block's ids, so that equal places of blocks do not share a cache set.
+PAD = 16
 
 
 class _Model:
@@ -32,25 +35,31 @@ class _Model:
         self.rate0 = np.full(lanes, 32768, np.int64)
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.spare = TOTAL - vocabulary - RECENT
+        self._bases()
+
+    def _bases(self) -> None:
+        self.base2, self.base1, self.base0, self.base_rate = (self.lane * n for n in (TABLE2, TABLE1, RECENT, 8))
 
     def shrink(self, lanes: int) -> None:
         """Goes on with the first lanes only."""
         self.lane, self.before, self.last, self.rate0 = self.lane[:lanes], self.before[:lanes], self.last[:lanes], self.rate0[:lanes]
+        self._bases()
 
     def predict(self) -> None:
-        lane = self.lane
-        self.at2 = lane * TABLE2 + (((self.before * 0x2545F491 + self.last * 0x9E3779B1) >> 7) & (TABLE2 - 1))
-        self.at1 = lane * TABLE1 + ((self.last * 0x9E3779B1 >> 9) & (TABLE1 - 1))
-        self.guess2, self.guess1 = self.table2[self.at2], self.table1[self.at1]
-        self.cell2 = lane * 8 + self.run2[self.at2]
-        self.cell1 = lane * 8 + self.run1[self.at1]
-        rate2, rate1 = self.rate2[self.cell2], self.rate1[self.cell1]
+        spread = self.last * 0x9E3779B1
+        self.at2 = self.base2 + (((self.before * 0x2545F491 + spread) >> 7) & (TABLE2 - 1))
+        self.at1 = self.base1 + (spread >> 9 & (TABLE1 - 1))
+        self.guess2, self.guess1 = self.table2.take(self.at2), self.table1.take(self.at1)
+        self.cell2 = self.base_rate + self.run2.take(self.at2)
+        self.cell1 = self.base_rate + self.run1.take(self.at1)
+        self.old2, self.old1 = self.rate2.take(self.cell2), self.rate1.take(self.cell1)
+        rate2, rate1 = self.old2, self.old1
         self.share2 = np.where(self.guess2 >= 0, (self.spare * rate2) >> 16, 0)
         rest = self.spare - self.share2
         self.share1 = np.where((self.guess1 >= 0) & (self.guess1 != self.guess2), (rest * rate1) >> 16, 0)
         rest -= self.share1
         pool = (rest * self.rate0) >> 16
-        self.slot = 1 + pool // RECENT
+        self.slot = 1 + (pool >> RECENT_BITS)
         self.each = 1 + (rest - pool) // self.vocabulary
         self.low0 = self.share2 + self.share1
         self.low_all = self.low0 + RECENT * self.slot
@@ -61,34 +70,35 @@ class _Model:
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slots = self._hash(ids)
-        hit2, hit1 = ids == self.guess2, ids == self.guess1
-        hit0 = self.recent[self.lane * RECENT + slots] == ids
-        start = np.where(hit2, 0, np.where(hit1, self.share2, np.where(hit0, self.low0 + slots * self.slot, self.low_all + ids * self.each)))
-        size = np.where(hit2, self.share2, np.where(hit1, self.share1, np.where(hit0, self.slot, self.each)))
+        self.place = self.base0 + slots
+        self.hit2, self.hit1 = ids == self.guess2, ids == self.guess1
+        self.hit0 = self.recent.take(self.place) == ids
+        start = np.where(self.hit0, self.low0 + slots * self.slot, self.low_all + ids * self.each)
+        size = np.where(self.hit0, self.slot, self.each)
+        for hit, low, share in ((self.hit1, self.share2, self.share1), (self.hit2, 0, self.share2)):
+            np.copyto(start, low, where=hit)
+            np.copyto(size, share, where=hit)
         return start, size
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The id whose interval holds ``value``."""
         slot = np.clip((value - self.low0) // self.slot, 0, RECENT - 1)
-        recent = self.recent[self.lane * RECENT + slot]
+        recent = self.recent.take(self.base0 + slot)
         other = np.minimum((value - self.low_all) // self.each, self.vocabulary - 1)
         found = np.where(value < self.share2, self.guess2, np.where(value < self.low0, self.guess1, np.where(value < self.low_all, recent, other)))
         return found.astype(np.int64)
 
     def update(self, ids: np.ndarray) -> None:
-        for guess, at, table, run, cell, rate in (
-            (self.guess2, self.at2, self.table2, self.run2, self.cell2, self.rate2),
-            (self.guess1, self.at1, self.table1, self.run1, self.cell1, self.rate1),
+        """Learns the ids whose ``interval`` was asked last."""
+        for hit, at, table, run, cell, rate, old in (
+            (self.hit2, self.at2, self.table2, self.run2, self.cell2, self.rate2, self.old2),
+            (self.hit1, self.at1, self.table1, self.run1, self.cell1, self.rate1, self.old1),
         ):
-            hit = guess == ids
-            old = rate[cell]
             rate[cell] = old + ((hit * 64000 + 500 - old) >> 4)  # never zero, so that every guess keeps a share
-            run[at] = np.where(hit, np.minimum(run[at] + 1, 7), 0)
+            run[at] = np.minimum(cell - self.base_rate + 1, 7) * hit
             table[at] = ids
-        place = self.lane * RECENT + self._hash(ids)
-        known = self.recent[place] == ids
-        self.rate0 = self.rate0 + ((known * 60000 + 2000 - self.rate0) >> 5)
-        self.recent[place] = ids
+        self.rate0 = self.rate0 + ((self.hit0 * 60000 + 2000 - self.rate0) >> 5)
+        self.recent[self.place] = ids
         self.before, self.last = self.last, ids
 
 
@@ -98,12 +108,11 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
         return []
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     sizes = np.array([len(blocks[k]) for k in order])
-    ids = np.zeros((len(blocks), max(1, sizes[0])), np.int64)
+    ids = np.zeros((len(blocks), max(1, sizes[0]) + PAD), np.int32)
     for row, k in enumerate(order.tolist()):
+        if sizes[row] and (blocks[k].min() < 0 or blocks[k].max() >= vocabulary):
+            raise ValueError("an id lies outside the vocabulary")
         ids[row, : sizes[row]] = blocks[k]
-    if ids.size and (ids.min() < 0 or ids.max() >= vocabulary):
-        raise ValueError("an id lies outside the vocabulary")
-    columns = np.ascontiguousarray(ids.T)
     model, lanes = _Model(len(blocks), vocabulary), len(blocks)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(2**64 - 1))
     last_low = low.copy()  # of blocks that have ended
@@ -115,15 +124,15 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
             again = words[rows, places] == 0
             rows, places = rows[again], places[again] - 1
 
-    live = np.searchsorted(-sizes, -np.arange(ids.shape[1]), side="left").tolist()
-    for k in range(ids.shape[1]):
+    live = np.searchsorted(-sizes, -np.arange(max(1, sizes[0])), side="left").tolist()
+    for k in range(len(live)):
         if not live[k]:
             break
         if live[k] < len(low):
             last_low[: len(low)] = low
             low, span = low[: live[k]].copy(), span[: live[k]].copy()
             model.shrink(live[k])
-        now = columns[k][: live[k]]
+        now = ids[: live[k], k].astype(np.int64)
         model.predict()
         start, size = model.interval(now)
         unit = span >> np.uint64(TOTAL_BITS)
@@ -164,7 +173,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> l
     for row, k in enumerate(order.tolist()):
         data = np.frombuffer(payloads[k][4:], "<u4")
         words[row, : len(data)] = data
-    out = np.zeros((max(1, steps), lanes), np.int64)
+    out = np.zeros((lanes, steps + PAD), np.int32)
     model = _Model(lanes, vocabulary)
     code, span = (words[:, 0] << LOW32) | words[:, 1], np.full(lanes, np.uint64(2**64 - 1))
     used = np.full(lanes, 2)
@@ -186,11 +195,10 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], vocabulary: int) -> l
             span[more] <<= LOW32
             used[more] += 1
         model.update(ids)
-        out[k, : live[k]] = ids
-    result: list[np.ndarray] = [np.empty(0, np.int64)] * lanes
-    columns = np.ascontiguousarray(out.T)
+        out[: live[k], k] = ids
+    result: list[np.ndarray] = [np.empty(0, np.int32)] * lanes
     for row, k in enumerate(order.tolist()):
-        ids = columns[row, : given[row]]
+        ids = out[row, : given[row]]
         if zlib.crc32(ids.astype("<u4").tobytes()).to_bytes(4, "little") != payloads[k][:4]:
             raise ValueError("a block of ids does not match its checksum")
         result[k] = ids

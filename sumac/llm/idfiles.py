@@ -15,6 +15,8 @@ from sumac.llm.tokens import by_units, encoder, read_tokenizer
 
 #: Ids of one frame (whole documents, so a longer document makes a longer frame), and ids coded side by side.
 FRAME, TOGETHER = 1 << 16, 1 << 22
+#: Text bytes tokenized at once, and pieces a worker remembers: two workers share an executor with a JVM.
+TEXT_BYTES, REMEMBERED = 1 << 20, 250_000
 
 #: A frame: its part of the corpus and place in it, the ids before it in that part, its documents
 #: and their numbers of ids (little-endian 64-bit), a checksum of these two, and the coded blocks.
@@ -52,18 +54,19 @@ def write_ids(
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        encode = encoder(definition.value, by_units).ids
+        encode = encoder(definition.value, by_units, REMEMBERED).ids
         part, frame, before = TaskContext.get().partitionId(), 0, 0
 
         def coded(docs):
             nonlocal frame, before
-            frames = list(_frames(docs))
-            streams = [np.concatenate([ids for _, ids in f]) for f in frames]
+            directories, streams = [], []
+            for held in _frames(docs):
+                directories.append((np.array([k for k, _ in held], "<i8").tobytes(), np.array([len(ids) for _, ids in held], "<i8").tobytes()))
+                streams.append(np.concatenate([ids for _, ids in held]))
+            docs.clear()  # from here on the streams alone hold the ids
             blocks = [_cut(s) for s in streams]
             payloads = iter(idcoder.encode_blocks([b for bs in blocks for b in bs], vocabulary))
-            for held, stream, own in zip(frames, streams, blocks):
-                names = np.array([k for k, _ in held], "<i8").tobytes()
-                lengths = np.array([len(ids) for _, ids in held], "<i8").tobytes()
+            for (names, lengths), stream, own in zip(directories, streams, blocks):
                 yield as_batch(
                     {
                         "part": pa.array([part], pa.int32()),
@@ -78,10 +81,10 @@ def write_ids(
                 )
                 frame, before = frame + 1, before + len(stream)
 
-        held, size = [], 0
-        for batch in slices(batches):
+        held, size, end = [], 0, np.array([end_id], np.int32)
+        for batch in slices(batches, size=TEXT_BYTES):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode([t.as_py() for t in batch.column("text")])):
-                held.append((doc, np.append(ids, end_id)))
+                held.append((doc, np.concatenate((ids, end))))
                 size += len(ids) + 1
             if size >= TOGETHER:
                 yield from coded(held)
@@ -115,7 +118,7 @@ def read_ids(spark: SparkSession, path: str, vocabulary: int) -> DataFrame:
                     raise ValueError("a directory of documents does not match its checksum")
                 lengths = np.frombuffer(r["lengths"], "<i8")
                 ends = np.concatenate(([0], np.cumsum(lengths)))
-                stream = np.concatenate([next(found) for _ in r["blocks"]]).astype(np.int32)
+                stream = np.concatenate([next(found) for _ in r["blocks"]])
                 yield as_batch(
                     {
                         "doc_id": pa.array(np.frombuffer(r["docs"], "<i8")),
@@ -144,7 +147,7 @@ def ids_crc32(found: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             lists = batch.column("ids")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4", copy=False)
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes)
             sums = [zlib.crc32(flat[e - n : e].tobytes()) for e, n in zip(ends.tolist(), sizes.tolist())]

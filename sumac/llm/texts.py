@@ -26,13 +26,13 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ).filter(F.col("doc_id").isNotNull())
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded size, so that memory does not follow the longest texts."""
     for batch in batches:
         if not batch.num_rows:
             continue
         mean = max(1, batch.column(batch.schema.get_field_index(column)).nbytes // batch.num_rows)
-        step = max(1, SLICE_BYTES // mean)
+        step = max(1, size // mean)
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 

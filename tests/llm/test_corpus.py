@@ -232,6 +232,34 @@ def test_range_coder():
         idcoder.decode_blocks(broken, [4096], 50257)
 
 
+def test_range_coder_memory():
+    import tracemalloc
+
+    own = np.random.default_rng(9)
+    blocks = [own.integers(0, 60, 4096).astype(np.int32) for _ in range(64)]
+    tracemalloc.start()
+    coded = idcoder.encode_blocks(blocks, 50257)
+    encoding = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    decoded = idcoder.decode_blocks(coded, [4096] * 64, 50257)
+    decoding = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() for a, b in zip(blocks, decoded))
+    assert max(encoding, decoding) < 20 * 64 * 4096  # bytes an id
+
+
+def test_joined_units():
+    from sumac.llm.tokens import TextEncoder, by_units, read_tokenizer
+
+    made = TextEncoder(read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")), by_units, 1000)
+    texts = [*(text(k) for k in range(len(TEXTS))), "", " ", "  x", "\n\n a  b \t c <|endoftext|>x", " \u00e9t\u00e9 \u4f60\u597d \U0001f600 ", "a \x1c b  \u180e z"]
+    wanted = [made.model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in made.ids([t.encode() for t in texts])] == wanted
+    made = TextEncoder(read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")), by_units, 1000)
+    made.counts = made.counts + 1  # lengths that fit nowhere
+    assert [ids.tolist() for ids in made.ids([t.encode() for t in texts])] == wanted
+
+
 def test_ppm(docs):
     keys, counts = np.unique(_gram_keys([b"abracadabra", b"abc", b""], 3), return_counts=True)
     trie = Trie(keys, counts, 3)
