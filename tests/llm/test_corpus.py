@@ -1,5 +1,6 @@
 """The corpus operators against brute force on small tables with nulls, ties, repeats and clashing columns."""
 
+import time
 import zlib
 from collections import Counter
 
@@ -135,6 +136,40 @@ def test_lines_with_an_early_insertion_in_a_long_run(spark):
     assert sum(r["n_removed"] for r in deduplicated_lines(table).collect()) == 120
 
 
+def test_lines_are_shuffled_once(spark, monkeypatch):
+    from sumac.llm.lines import _each_shingle, _lines, _signatures, shingles
+
+    rows = [(k, "é1\U0001f600x\t"[: k % 6] + "abcdefghij" * (k // 2) + "."[: k % 3]) for k in range(30)]
+    lines = _lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    whole = Counter((r["doc_id"], r["line"][k : k + 5]) for r in lines.collect() for k in range(max(1, len(r["line"]) - 4)))
+    assert Counter((r["doc_id"], s) for r in lines.select("doc_id", shingles(F.col("line"), 5).alias("s")).collect() for s in r["s"]) == whole
+    assert Counter((r["doc_id"], r["shingle"]) for r in _each_shingle(lines, 5, "doc_id").collect()) == whole
+    # Neither the lines nor their signatures go over the wire twice, and a signature takes 16 bits a hash.
+    signed = _signatures(lines, 32, 5)
+    plan = signed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert all(0 <= r[f"m{j}"] < 65536 for r in signed.collect() for j in range(32))
+    monkeypatch.setattr("sumac.llm.lines.BANDS_AT_ONCE", 5)
+    table = spark.createDataFrame([(1, "one line of some words\nx"), (2, "One line of some words"), (3, "x\nother")], "doc_id long, text string")
+    assert {k: r["n_removed"] for k, r in by_id(deduplicated_lines(table)).items()} == {1: 0, 2: 1, 3: 1}
+
+
+def test_tidy_writes_leave_no_shuffle_files(spark):
+    from sumac.session import CLEANUP, freeze
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size())}
+
+    before, conf = files(), spark.conf.get(CLEANUP, None)
+    counted = freeze(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "tidy", tidy=True)
+    for _ in range(50):  # files go soon after the write, not within it
+        if not (left := {f for f in files() - before if f.startswith("shuffle_")}):
+            break
+        time.sleep(0.1)
+    assert not left and counted.count() == 7 and spark.conf.get(CLEANUP, None) == conf
+
+
 def test_lines_of_one_template_in_hot_bands(spark, monkeypatch):
     own = np.random.default_rng(8)
     words = ["".join(own.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(400)]
