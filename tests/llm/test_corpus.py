@@ -154,6 +154,32 @@ def test_lines_are_shuffled_once(spark, monkeypatch):
     assert {k: r["n_removed"] for k, r in by_id(deduplicated_lines(table)).items()} == {1: 0, 2: 1, 3: 1}
 
 
+def test_a_shingle_meets_few_constants(spark):
+    from sumac.llm.lines import SHARES, _hashed, _lines, _profiles, _signatures
+
+    own, rows = np.random.default_rng(9), []
+    for k in range(80):
+        text = "".join(own.choice(list("abcdefghijklmnopqrstuvwxyzé"), 200))
+        rows += [(2 * k, text), (2 * k + 1, text[:178] + "".join(own.choice(list("0123456789"), 22)))]  # 174 of 218 shingles in both
+    rows += [(160, "ab"), (161, "abcdef"), (162, "abcdeg")]
+    lines = _lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    signed = _signatures(lines, 32, 5)
+    plan = signed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min(") == 32 // SHARES
+    found = {r["doc_id"]: [r[f"m{j}"] for j in range(32)] for r in signed.join(_hashed(lines), ["h1", "h2"]).collect()}
+    agree = [np.mean([a == b for a, b in zip(found[2 * k], found[2 * k + 1])]) for k in range(80)]
+    assert abs(np.mean(agree) - 174 / 218) < 0.05
+    # A line of few shingles leaves shares empty; they have values of its own, so that short lines do not all look the same.
+    assert None not in found[160] and not set(found[160]) & set(found[161]) and len(set(found[160])) == 32 // SHARES
+    profiles = _profiles(lines.select(F.col("doc_id").alias("id"), "line"), 5)
+    assert profiles._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    for r in profiles.collect():
+        text = dict(rows)[r["id"]]
+        different = len({text[k : k + 5] for k in range(max(1, len(text) - 4))})
+        assert r["size"] == max(1, len(text) - 4) and r["bits"] == sum(bin(r[f"b{k}"] & (2**64 - 1)).count("1") for k in range(16))
+        assert 0.8 * different <= r["bits"] <= different
+
+
 def test_tidy_writes_leave_no_shuffle_files(spark):
     from sumac.session import CLEANUP, freeze
 
