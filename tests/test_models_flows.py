@@ -230,3 +230,24 @@ def test_model_input_is_spread_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(models, "fit_all", lambda train, candidates: used.append(train.rdd.getNumPartitions()) or {})
     flows._fitted(df.withColumn("split", F.when(F.col("doc_id") < 80, "train").otherwise("test")), "label", ["a"], [], {})
     assert used == [40]
+
+
+def test_a_forest_grown_in_groups_is_one_model(spark, tmp_path, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+
+    from sumac.plans import flows
+
+    forest = flows.DatedModels("unused", "label", ["a"], []).candidates["random_forest"]
+    assert (type(forest), forest.trees, forest.depth) == (models.ForestInGroups, 300, 8) and forest.GROUP <= 25
+    rows = [(float(k % 17), float(k % 5), float(k % 17 > 8)) for k in range(300)]
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(rows, "a double, b double, label double"))
+    sizes, one = [], models.random_forest
+    monkeypatch.setattr(models, "random_forest", lambda trees, depth: sizes.append(trees) or one(trees, depth))
+    monkeypatch.setattr(models.ForestInGroups, "GROUP", 2)
+    model = models.ForestInGroups(5, 3).fit(data)
+    assert sizes == [2, 2, 1] and model.getNumTrees == 5 and len({t.toDebugString for t in model.trees}) > 2
+    scored = model.transform(data).select("a", "b", "label", "prediction", "probability").collect()
+    assert sum(r["label"] == r["prediction"] for r in scored) > 290
+    models.save(PipelineModel([model]), str(tmp_path / "forest"))
+    assert models.load(str(tmp_path / "forest")).transform(data).select("a", "b", "label", "prediction", "probability").collect() == scored
