@@ -251,3 +251,15 @@ def test_a_forest_grown_in_groups_is_one_model(spark, tmp_path, monkeypatch):
     assert sum(r["label"] == r["prediction"] for r in scored) > 290
     models.save(PipelineModel([model]), str(tmp_path / "forest"))
     assert models.load(str(tmp_path / "forest")).transform(data).select("a", "b", "label", "prediction", "probability").collect() == scored
+
+
+def test_compared_shapes_use_every_coordinate(spark, tmp_path):
+    from sumac.plans import modelling
+
+    rows = [(k, [0.5, 0.5, *[float((k * (j + 3)) % 11) if j % 2 else 0.1 for j in range(62)]], k % 3) for k in range(60)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    shapes = modelling._shapes(spark, str(tmp_path))
+    assert list(shapes) == ["plain", "sheared"]
+    for df in shapes.values():
+        found = df.collect()
+        assert len(found) == 60 and len({round(r["x"], 6) for r in found}) >= 11 and len({round(r["y"], 6) for r in found}) >= 11
