@@ -263,3 +263,10 @@ def test_compared_shapes_use_every_coordinate(spark, tmp_path):
     for df in shapes.values():
         found = df.collect()
         assert len(found) == 60 and len({round(r["x"], 6) for r in found}) >= 11 and len({round(r["y"], 6) for r in found}) >= 11
+
+
+def test_the_boosted_regression_is_not_cut_down():
+    from sumac.plans import modelling
+
+    trees = modelling._boosted_regressor().getStages()[-1]
+    assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getSubsamplingRate()) == (100, 6, 1.0)
