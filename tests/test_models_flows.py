@@ -257,11 +257,13 @@ def test_compared_shapes_use_every_coordinate(spark, tmp_path):
     from sumac.plans import modelling
 
     rows = [(k, [0.5, 0.5, *[float((k * (j + 3)) % 11) if j % 2 else 0.1 for j in range(62)]], k % 3) for k in range(60)]
+    rows += [(60, None, 0), (61, [0.5, 0.5, None, *[0.1] * 61], 0)]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     shapes = modelling._shapes(spark, str(tmp_path))
     assert list(shapes) == ["plain", "sheared"]
     for df in shapes.values():
-        found = df.collect()
+        assert sorted(r["vec_id"] for r in df.filter("x is null and y is null").collect()) == [60, 61]
+        found = df.filter("x is not null").collect()
         assert len(found) == 60 and len({round(r["x"], 6) for r in found}) >= 11 and len({round(r["y"], 6) for r in found}) >= 11
 
 
